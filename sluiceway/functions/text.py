@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 
 # The characters counted as white space between words (all of Unicode's, plus the
 # four ASCII separators), written as the body of a Java character class.
-WHITE_SPACE = r"\s\x0b\x1c-\x1f\x85   -     　"
+WHITE_SPACE = r"\s\x0b\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 PAD_TOKEN = "[PAD]"
 
