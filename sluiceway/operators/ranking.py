@@ -193,8 +193,8 @@ def finite_double(name: str) -> Column:
     return F.greatest(F.least(v, F.lit(sys.float_info.max)), F.lit(-sys.float_info.max))
 
 
-def values_in_ranges(df: DataFrame, ranges: list[ValueRange], *kept: Column) -> DataFrame:
-    """Long form of the values that lie in the ranges: the kept columns, r (range number), v, low, high.
+def long_values(df: DataFrame, ranges: list[ValueRange], *kept: Column) -> DataFrame:
+    """Long form of the columns that the ranges name: the kept columns, r (range number), v, low, high.
 
     One generic row shape for all columns keeps the generated code small, however many there are.
     """
@@ -207,15 +207,20 @@ def values_in_ranges(df: DataFrame, ranges: list[ValueRange], *kept: Column) ->
         )
         for i, x in enumerate(ranges)
     ]
-    return df.select(*kept, F.explode(F.array(*cells)).alias("_c")).select(
-        *[F.col(name) for name in df.select(*kept).columns], "_c.*"
-    ).where((F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high")))
+    wide = df.select(*kept, F.explode(F.array(*cells)).alias("_c"))
+    return wide.select(*[quoted(c) for c in wide.columns[:-1]], "_c.*").where(F.col("v").isNotNull())
+
+
+def values_in_ranges(df: DataFrame, ranges: list[ValueRange], *kept: Column) -> DataFrame:
+    """`long_values` without the values outside their range."""
+    return long_values(df, ranges, *kept).where((F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high")))
 
 
 def equal_width_bin(bins: int) -> Column:
     """Bin of v between low and high, rising with v; halves keep the widest ranges from overflowing."""
     v, low, high = F.col("v") / 2, F.col("low") / 2, F.col("high") / 2
-    return F.least(F.lit(bins - 1), F.floor((v - low) / (high - low) * bins)).cast("int")
+    share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (v - low) / (high - low)))
+    return F.least(F.lit(bins - 1), F.floor(share * bins)).cast("int")
 
 
 def exact_order_statistics(df: DataFrame, ranks: dict[str, list[int]], stats: dict[str, tuple]) -> dict:
