@@ -14,8 +14,9 @@ def l2_norm(vector: Column) -> Column:
 
 def l2_normalise(vector: Column) -> Column:
     """Unit vector as ARRAY<DOUBLE>; a zero vector stays zero."""
-    norm = F.greatest(l2_norm(vector), F.lit(MIN_NORM))
-    return F.transform(vector, lambda x: x.cast("double") / norm)
+    norms = F.array(F.greatest(l2_norm(vector), F.lit(MIN_NORM)))
+    # The norm is bound to a lambda variable, else it would be computed again for every element.
+    return F.flatten(F.transform(norms, lambda norm: F.transform(vector, lambda x: x.cast("double") / norm)))
 
 
 def squared_l2(left: Column, right: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from sluiceway.functions.columns import double_lit, quoted, valid_double
 from sluiceway.operators.ranking import ValueRange, equal_width_bin, finite_double, long_values
 from sluiceway.schemas import numeric_columns
+from sluiceway.session import to_scratch_table
 
 # Fixed values of the drift rules.
 PSI_BUCKETS = 10
@@ -23,7 +24,7 @@ RETRAIN_FEEDBACK = 500
 TEST_P_VALUE = 0.05
 TEST_DRIFT_SHARE = 0.5
 
-KS_BINS = 512
+KS_BINS = 256
 
 
 def shared_numeric_columns(reference: DataFrame, current: DataFrame) -> list[str]:
@@ -89,7 +90,8 @@ def psi_bins(reference: DataFrame, current: DataFrame, columns: list[str] | None
     scaffold = (
         reference.sparkSession.range(1)
         .select(F.explode(F.array(*spans)).alias("s"))
-        .select("s.*", F.explode(every_bin).alias("bin"))
+        .select("s.*")
+        .withColumn("bin", F.explode(every_bin))
     )
     if not usable:
         return scaffold.select("*", F.lit(0).cast("bigint").alias("n_ref"), F.lit(0).cast("bigint").alias("n_cur"))
@@ -184,10 +186,8 @@ def ks_statistics(reference: DataFrame, current: DataFrame, columns: list[str] |
         "is_ref", *[finite_double(c).alias(f"v{i}") for i, c in enumerate(columns)]
     )
     shares = [k / KS_BINS for k in range(1, KS_BINS)]
-    row = both.agg(
-        *[F.percentile_approx(f"v{i}", shares, 10 * KS_BINS).alias(f"v{i}") for i in range(len(columns))]
-    ).first()
-    splits = [[-math.inf, *(sorted(set(q)) if q else [0.0]), math.inf] for q in row]
+    borders = both.stat.approxQuantile([f"v{i}" for i in range(len(columns))], shares, 1 / (8 * KS_BINS))
+    splits = [[-math.inf, *(sorted(set(q)) or [0.0]), math.inf] for q in borders]
     binned = Bucketizer(
         splitsArray=splits,
         inputCols=[f"v{i}" for i in range(len(columns))],
@@ -224,7 +224,10 @@ def ks_statistics(reference: DataFrame, current: DataFrame, columns: list[str] |
         F.col("upto_ref") / F.col("ref_rows") - cur_before / F.col("cur_rows"),
         F.col("upto_cur") / F.col("cur_rows") - ref_before / F.col("ref_rows"),
     )
-    bins = bins.select("*", at_border.alias("at_border"), F.max(at_border).over(column).alias("border_ks"), inside.alias("inside"))
+    # Stored, because both the border distances and the choice of bins to open are read from it.
+    bins = to_scratch_table(
+        bins.select("*", F.max(at_border).over(column).alias("border_ks"), inside.alias("inside")), "ks-bins"
+    )
     opened = bins.where("inside > border_ks").select(
         "r", "bin", ref_before.alias("ref_before"), cur_before.alias("cur_before"), "ref_rows", "cur_rows"
     )
@@ -303,7 +306,7 @@ def chi2_statistics(reference: DataFrame, current: DataFrame, columns: list[str]
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi2_p_value(statistic: pd.Series, freedom: pd.Series) -> pd.Series:
     """Upper tail of the chi-square distribution; one value per compared column."""
     return pd.Series([_chi2_tail(x, int(k)) for x, k in zip(statistic, freedom)], dtype="float64")

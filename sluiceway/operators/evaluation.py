@@ -27,22 +27,29 @@ def align_labels(predictions: DataFrame, labels: DataFrame, key: str) -> DataFra
     return predictions.join(labels, key)
 
 
-def classification_metrics(df: DataFrame, prediction: str = "prediction", label: str = "label", groups: list[str] | None = None) -> DataFrame:
-    """accuracy, f1, precision, recall of class 1, from one aggregate."""
+def classification_metrics(
+    df: DataFrame,
+    prediction: str = "prediction",
+    label: str = "label",
+    groups: list[str] | None = None,
+    also: dict[str, Column] | None = None,
+) -> DataFrame:
+    """accuracy, f1, precision, recall of class 1 and any other named aggregates, in one pass."""
+    also = also or {}
     p, y = quoted(prediction), quoted(label)
     counted = df.groupBy(*(groups or [])).agg(
         F.avg((p == y).cast("double")).alias("accuracy"),
         F.count_if((p == 1) & (y == 1)).alias("tp"),
         F.count_if((p == 1) & (y == 0)).alias("fp"),
         F.count_if((p == 0) & (y == 1)).alias("fn"),
+        *[c.alias(name) for name, c in also.items()],
     )
     scored = counted.withColumn("precision", F.col("tp") / (F.col("tp") + F.col("fp") + EPSILON)).withColumn(
         "recall", F.col("tp") / (F.col("tp") + F.col("fn") + EPSILON)
     )
     both = F.col("precision") + F.col("recall") + EPSILON
-    return scored.select(
-        *(groups or []), "accuracy", (2 * F.col("precision") * F.col("recall") / both).alias("f1"), "precision", "recall"
-    )
+    f1 = 2 * F.col("precision") * F.col("recall") / both
+    return scored.select(*(groups or []), "accuracy", f1.alias("f1"), "precision", "recall", *also)
 
 
 def mean_loss(df: DataFrame, epoch: str, batch: str, loss: str) -> DataFrame:

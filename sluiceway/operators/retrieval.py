@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
@@ -34,7 +34,8 @@ def hash_embedding(df: DataFrame, text: str = "text", dimensions: int = 256, out
     counted = HashingTF(numFeatures=dimensions, inputCol="_words", outputCol="_tf").transform(
         df.withColumn("_words", words(F.lower(F.col(text))))
     )
-    return counted.withColumn(output, l2_normalise(vector_to_array("_tf")).cast("array<float>")).drop("_words", "_tf")
+    unit = Normalizer(inputCol="_tf", outputCol="_unit").transform(counted)
+    return unit.withColumn(output, vector_to_array("_unit", "float32")).drop("_words", "_tf", "_unit")
 
 
 def embed_with(
@@ -251,7 +252,7 @@ def build_prompts(questions: DataFrame, sources: DataFrame) -> DataFrame:
 def answer_with(prompts: DataFrame, generator: Callable[[], Callable[[pd.Series], list]]) -> DataFrame:
     """Add `answer` by a user's generator, built once per task."""
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def generate(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = generator()
         for batch in batches:

@@ -23,7 +23,7 @@ def sorted_percentile(ordered: Column, p: float) -> Column:
     return F.coalesce(F.get(ordered, at), F.lit(0.0))
 
 
-def _window_figures(values: Column) -> list[Column]:
+def window_figures(values: Column) -> list[Column]:
     ordered = F.sort_array(values)
     total = F.aggregate(ordered, F.lit(0.0), lambda acc, x: acc + x)
     mean = F.when(F.size(ordered) > 0, total / F.size(ordered)).otherwise(0.0)
@@ -76,7 +76,7 @@ def service_snapshot(
         "total_errors",
         (F.col("total_errors") / F.greatest(n, F.lit(1))).alias("error_rate"),
         (n / F.greatest(F.col("uptime_seconds"), F.lit(1.0))).alias("throughput_rps"),
-        *_window_figures(F.col("recent")),
+        *window_figures(F.col("recent")),
     )
 
 
@@ -123,7 +123,7 @@ def rolling_latency(
     return (
         chunks.withColumn("_held", F.collect_list("_v").over(frame))
         .where("home")
-        .select(group, ts, seq, *_window_figures(F.col("_held")))
+        .select(group, ts, seq, *window_figures(F.col("_held")))
     )
 
 

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
-from sluiceway.operators.service_metrics import WINDOW, _window_figures, status_counts
+from sluiceway.operators.service_metrics import WINDOW, window_figures, status_counts
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 SALTS = 16
@@ -118,5 +118,5 @@ def rolling_snapshot(spark: SparkSession, path: str, window: int = WINDOW) -> Da
         .where(F.col("_rank") <= window)
         .groupBy("service")
         .agg(F.collect_list("latency").alias("held"))
-        .select("service", *_window_figures(F.col("held")))
+        .select("service", *window_figures(F.col("held")))
     )
