@@ -154,8 +154,11 @@ ORACLES = {
         FROM ranked JOIN documents ON doc_id = vec_id WHERE rank <= 5""",
     "rag_prompt": f"""
         WITH {_TOP},
-        found AS (SELECT query_id, string_agg('[' || rank || '] ' || text, chr(10) || chr(10) ORDER BY rank) AS context
-                  FROM ranked JOIN documents ON doc_id = vec_id WHERE rank <= 3 GROUP BY query_id)
+        -- hits without a passage are dropped and the others numbered from 1
+        held AS (SELECT query_id, text, row_number() OVER (PARTITION BY query_id ORDER BY rank) AS place
+                 FROM ranked JOIN documents ON doc_id = vec_id WHERE rank <= 3),
+        found AS (SELECT query_id, string_agg('[' || place || '] ' || text, chr(10) || chr(10) ORDER BY place) AS context
+                  FROM held GROUP BY query_id)
         SELECT query_id, 'Context:' || chr(10) || context || chr(10) || chr(10) || 'Question: ' || text || chr(10) || 'Answer:' AS prompt
         FROM found JOIN documents ON doc_id = query_id WHERE length(text) BETWEEN 1 AND 2000""",
     "vector_store": """

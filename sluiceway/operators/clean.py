@@ -66,13 +66,13 @@ def infer_payload_schema(df: DataFrame, payload: str = "payload") -> T.StructTyp
 
 
 def _plain(kind: T.DataType) -> T.DataType:
-    """JSON numbers with a fraction become DOUBLE, empty types STRING."""
+    """JSON numbers written with a fraction become DOUBLE (3.0 too), empty and mixed types STRING."""
     if isinstance(kind, T.StructType):
         return T.StructType([T.StructField(f.name, _plain(f.dataType)) for f in kind.fields])
     if isinstance(kind, T.ArrayType):
         return T.ArrayType(_plain(kind.elementType))
     if isinstance(kind, T.DecimalType):
-        return T.LongType() if kind.scale == 0 and kind.precision <= 18 else T.DoubleType()
+        return T.DoubleType()
     if isinstance(kind, (T.NullType, T.VariantType)):
         return T.StringType()
     return kind

@@ -6,15 +6,17 @@ import math
 import random
 from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluiceway.functions.text import WHITE_SPACE
 from sluiceway.operators.evaluation import classification_metrics
+from sluiceway.session import scratch_path
 
 # Fixed values of the search space: regularisation (log scale), mixing, iterations.
 REG_RANGE = (1e-6, 1e-1)
@@ -43,12 +45,23 @@ def _with_double_label(df: DataFrame, label: str) -> DataFrame:
     return df.withColumn("_label", F.col(label).cast("double"))
 
 
+def _stored(model):
+    """The model as read back from the shared folder.
+
+    A freshly trained model drags its training summary, and with it the session, into every task;
+    the stored one holds the coefficients alone.
+    """
+    path = scratch_path(SparkSession.active(), "model")
+    model.write().save(path)
+    return type(model).load(path)
+
+
 def train_text_classifier(train: DataFrame, dimensions: int = 1 << 16, **params) -> PipelineModel:
     """Logistic regression over text; every stage aggregates on the executors."""
     text, label = text_and_label(train)
     options = {"maxIter": 20, "regParam": 1e-3} | params
     head = LogisticRegression(labelCol="_label", **options)
-    return Pipeline(stages=[*text_features(text, dimensions), head]).fit(_with_double_label(train, label))
+    return _stored(Pipeline(stages=[*text_features(text, dimensions), head]).fit(_with_double_label(train, label)))
 
 
 def train_text_regressor(train: DataFrame, dimensions: int = 1 << 12, **params) -> PipelineModel:
@@ -56,7 +69,7 @@ def train_text_regressor(train: DataFrame, dimensions: int = 1 << 12, **params)
     text, label = text_and_label(train)
     options = {"maxIter": 20, "regParam": 1e-1, "solver": "l-bfgs"} | params
     head = LinearRegression(labelCol="_label", **options)
-    return Pipeline(stages=[*text_features(text, dimensions), head]).fit(_with_double_label(train, label))
+    return _stored(Pipeline(stages=[*text_features(text, dimensions), head]).fit(_with_double_label(train, label)))
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -113,7 +126,7 @@ def search_parameters(
 
     def run(trial: tuple[int, dict]) -> tuple:
         number, params = trial
-        model = LogisticRegression(labelCol="_label", **params).fit(fitted_on)
+        model = _stored(LogisticRegression(labelCol="_label", **params).fit(fitted_on))
         scored = model.transform(judged_on).select(
             F.col("prediction").cast("int").alias("prediction"), F.col("_label").cast("int").alias("_label")
         )
@@ -122,7 +135,7 @@ def search_parameters(
 
     try:
         with ThreadPool(parallelism) as pool:
-            rows = pool.map(run, list(enumerate(sample_parameters(trials, seed))))
+            rows = pool.map(inheritable_thread_target(spark)(run), list(enumerate(sample_parameters(trials, seed))))
     finally:
         fitted_on.unpersist()
         judged_on.unpersist()

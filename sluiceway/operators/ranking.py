@@ -190,7 +190,9 @@ class ValueRange:
 def finite_double(name: str) -> Column:
     """The column as DOUBLE without NaN, infinities drawn in to the largest finite values."""
     v = valid_double(name)
-    return F.greatest(F.least(v, F.lit(sys.float_info.max)), F.lit(-sys.float_info.max))
+    largest = sys.float_info.max
+    # least and greatest skip nulls, so missing values are kept out of them.
+    return F.when(v.isNotNull(), F.greatest(F.least(v, F.lit(largest)), F.lit(-largest)))
 
 
 def long_values(df: DataFrame, ranges: list[ValueRange], *kept: Column) -> DataFrame:

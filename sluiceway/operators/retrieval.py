@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F, types as T
@@ -47,9 +48,10 @@ def embed_with(
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = encoder()
         for batch in batches:
-            yield pd.Series(list(model(batch)))
+            matrix = np.asarray(list(model(batch)), dtype=np.float64)
+            yield pd.Series(list(_unit(matrix).astype(np.float32)))
 
-    return df.withColumn(output, l2_normalise(encode(F.col(text))).cast("array<float>"))
+    return df.withColumn(output, encode(F.col(text)))
 
 
 def append_vectors(df: DataFrame, path: str, order: list[str]) -> None:
@@ -62,8 +64,8 @@ def append_vectors(df: DataFrame, path: str, order: list[str]) -> None:
     try:
         last = spark.read.parquet(path).agg(F.max("vec_id")).first()[0]
         first = 0 if last is None else last + 1
-    except Exception as problem:
-        if "PATH_NOT_FOUND" not in str(problem):
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         first = 0
     empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
