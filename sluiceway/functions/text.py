@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# The characters counted as white space between words (all of Unicode's, plus the
-# four ASCII separators), written as the body of a Java character class.
-WHITE_SPACE = r"\s\x0b\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# The characters between words are Unicode's white space, which \s means under the U
+# flag, and the four ASCII separators.
+BETWEEN_WORDS = r"(?U)[\s\x1c-\x1f]+"
+WORD = r"(?U)[^\s\x1c-\x1f]+"
 
 PAD_TOKEN = "[PAD]"
 
@@ -18,12 +19,12 @@ def text_length(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """White-space separated words; null counts 0."""
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(f"[^{WHITE_SPACE}]+"))
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD))
 
 
 def words(text: Column) -> Column:
     """The words themselves, in order."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"[^{WHITE_SPACE}]+"), F.lit(0))
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
 
 
 def token_window(tokens: Column, max_length: int) -> Column:

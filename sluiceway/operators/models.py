@@ -7,14 +7,14 @@ import random
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluiceway.functions.text import WHITE_SPACE
+from sluiceway.functions.text import BETWEEN_WORDS
 from sluiceway.operators.evaluation import classification_metrics
 from sluiceway.session import scratch_path
 
@@ -32,17 +32,14 @@ def text_and_label(df: DataFrame) -> tuple[str, str]:
     )
 
 
-def text_features(text: str, dimensions: int = 1 << 16) -> list:
-    """Stages from text to weighted hashed word counts in `features`."""
-    return [
-        RegexTokenizer(inputCol=text, outputCol="_words", pattern=f"[{WHITE_SPACE}]+"),
-        HashingTF(inputCol="_words", outputCol="_tf", numFeatures=dimensions),
-        IDF(inputCol="_tf", outputCol="features"),
-    ]
-
-
-def _with_double_label(df: DataFrame, label: str) -> DataFrame:
-    return df.withColumn("_label", F.col(label).cast("double"))
+def count_words(text: str, dimensions: int) -> PipelineModel:
+    """Stages from text to hashed word counts in `_tf`; they need no fit."""
+    return PipelineModel(
+        stages=[
+            RegexTokenizer(inputCol=text, outputCol="_words", pattern=BETWEEN_WORDS),
+            HashingTF(inputCol="_words", outputCol="_tf", numFeatures=dimensions),
+        ]
+    )
 
 
 def _stored(model):
@@ -56,20 +53,30 @@ def _stored(model):
     return type(model).load(path)
 
 
+def _train_on_text(train: DataFrame, dimensions: int, head) -> PipelineModel:
+    """Word counts, their weights and a model on top. The texts are split once: the counts are kept
+    while the weights and the model are fitted on them."""
+    text, label = text_and_label(train)
+    counting = count_words(text, dimensions)
+    counts = counting.transform(train).select(F.col(label).cast("double").alias("_label"), "_tf").persist()
+    try:
+        weights = IDF(inputCol="_tf", outputCol="features").fit(counts)
+        model = head.fit(weights.transform(counts))
+    finally:
+        counts.unpersist()
+    return _stored(PipelineModel(stages=[*counting.stages, weights, model]))
+
+
 def train_text_classifier(train: DataFrame, dimensions: int = 1 << 16, **params) -> PipelineModel:
     """Logistic regression over text; every stage aggregates on the executors."""
-    text, label = text_and_label(train)
     options = {"maxIter": 20, "regParam": 1e-3} | params
-    head = LogisticRegression(labelCol="_label", **options)
-    return _stored(Pipeline(stages=[*text_features(text, dimensions), head]).fit(_with_double_label(train, label)))
+    return _train_on_text(train, dimensions, LogisticRegression(labelCol="_label", **options))
 
 
 def train_text_regressor(train: DataFrame, dimensions: int = 1 << 12, **params) -> PipelineModel:
     """Linear regression over text, squared loss."""
-    text, label = text_and_label(train)
     options = {"maxIter": 20, "regParam": 1e-1, "solver": "l-bfgs"} | params
-    head = LinearRegression(labelCol="_label", **options)
-    return _stored(Pipeline(stages=[*text_features(text, dimensions), head]).fit(_with_double_label(train, label)))
+    return _train_on_text(train, dimensions, LinearRegression(labelCol="_label", **options))
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -119,10 +126,12 @@ def search_parameters(
     """
     spark = train.sparkSession
     text, label = text_and_label(train)
-    features = Pipeline(stages=text_features(text, dimensions)).fit(train)
-    wanted = [F.col(label).cast("double").alias("_label"), "features"]
-    fitted_on = features.transform(train).select(*wanted).persist()
-    judged_on = features.transform(val).select(*wanted).persist()
+    counting = count_words(text, dimensions)
+    wanted = [F.col(label).cast("double").alias("_label"), "_tf"]
+    fit_counts = counting.transform(train).select(*wanted).persist()
+    val_counts = counting.transform(val).select(*wanted).persist()
+    weights = IDF(inputCol="_tf", outputCol="features").fit(fit_counts)
+    fitted_on, judged_on = weights.transform(fit_counts), weights.transform(val_counts)
 
     def run(trial: tuple[int, dict]) -> tuple:
         number, params = trial
@@ -137,8 +146,8 @@ def search_parameters(
         with ThreadPool(parallelism) as pool:
             rows = pool.map(inheritable_thread_target(spark)(run), list(enumerate(sample_parameters(trials, seed))))
     finally:
-        fitted_on.unpersist()
-        judged_on.unpersist()
+        fit_counts.unpersist()
+        val_counts.unpersist()
     return spark.createDataFrame(
         rows,
         "trial int, reg_param double, elastic_net double, max_iter int, accuracy double, f1 double, precision double, recall double",

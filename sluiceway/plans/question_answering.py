@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from sluiceway.operators.requests import check_retrieval_requests
 from sluiceway.operators.retrieval import build_prompts, hash_embedding, nearest, with_passages
+from sluiceway.session import to_scratch_table
 
 
 def prompts_for(
@@ -25,6 +26,8 @@ def prompts_for(
     asked = check_retrieval_requests(requests).where("valid")
     if "embedding" not in asked.columns:
         asked = (embed or (lambda df: hash_embedding(df, "query")))(asked)
+    # Stored, so that an embedding model sees each question once.
+    asked = to_scratch_table(asked.select("query_id", "query", "top_k", "embedding"), "questions")
     most = asked.agg(F.max("top_k")).first()[0]
     if most is None:
         most = 1

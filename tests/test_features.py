@@ -101,6 +101,13 @@ def test_text_features(spark):
     assert add_text_features(spark.range(1)).columns == ["id"]
 
 
+def test_words_split_like_python(spark):
+    text = "a".join(chr(c) for c in range(1, 0x3100) if not 0xD800 <= c < 0xE000)
+    df = spark.createDataFrame([(text,)], "text string")
+    assert df.select(words(F.col("text")).alias("w")).first().w == text.split()
+    assert add_text_features(df).first().word_count == len(text.split())
+
+
 def test_time_features(spark):
     rows = [(dt.datetime(2024, 1, 15, 10, 30),), (dt.datetime(2024, 6, 20, 18, 0),), (None,)]
     for kind in ("timestamp", "timestamp_ntz"):
