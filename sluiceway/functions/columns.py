@@ -17,6 +17,19 @@ def valid_double(name: str) -> Column:
     return F.nanvl(quoted(name).cast("double"), F.lit(None).cast("double"))
 
 
+# Microseconds and offset are written out, so that different rows never share one text.
+_JSON_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
+def row_json(names: list[str], keep_nulls: bool = False) -> Column:
+    """The named columns as one JSON object."""
+    options = _JSON_TIMES | {"ignoreNullFields": "false" if keep_nulls else "true"}
+    return F.to_json(F.struct(*[quoted(n) for n in names]), options)
+
+
 def double_lit(value: float) -> Column:
     """A DOUBLE literal; infinities and NaN go through a cast."""
     if math.isnan(value) or math.isinf(value):

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sluiceway.functions import clock, text
-from sluiceway.functions.columns import category_text, double_lit, quoted, valid_double
+from sluiceway.functions.columns import category_text, double_lit, quoted, row_json, valid_double
 from sluiceway.operators.ranking import exact_positions
 from sluiceway.schemas import scalar_columns, timestamp_columns
 from sluiceway.session import to_scratch_table
@@ -43,8 +43,8 @@ def engineer(df: DataFrame) -> DataFrame:
 def to_feature_rows(df: DataFrame, entity_col: str = "id") -> DataFrame:
     """entity_id, the other scalar columns as one JSON object (nulls left out), event_timestamp."""
     entity = quoted(entity_col).cast("string") if entity_col in df.columns else F.lit("unknown")
-    values = [quoted(c) for c in scalar_columns(df.schema) if c != entity_col]
-    packed = F.to_json(F.struct(*values)) if values else F.lit("{}")
+    values = [c for c in scalar_columns(df.schema) if c != entity_col]
+    packed = row_json(values) if values else F.lit("{}")
     return df.select(
         entity.alias("entity_id"), packed.alias("feature_values"), F.current_timestamp().alias("event_timestamp")
     )

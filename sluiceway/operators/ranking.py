@@ -22,6 +22,9 @@ BRACKET_ROWS = 200_000
 # Bins per range and round of a search, and the rounds after which any double is isolated.
 ZOOM_BINS = 1024
 MAX_ROUNDS = 12
+# Spark's own bound for limiting ranks before a shuffle, and the salts used beyond it.
+GROUP_LIMIT = 1000
+SALTS = 64
 # Hex digits of a digest.
 DIGEST_DIGITS = 32
 
@@ -65,6 +68,23 @@ def exact_positions(
     )
 
 
+def first_per_group(df: DataFrame, group: str, order: list[Column], n: int, salt_by: str) -> DataFrame:
+    """The first `n` rows of each group in an order.
+
+    Up to GROUP_LIMIT rows Spark applies the limit in every task before its shuffle. For more, rows
+    are first limited within the salts of a group, so a hot group is never one task either.
+    """
+
+    def limited(rows: DataFrame, keys: list[str]) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        return rows.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
+
+    if n > GROUP_LIMIT:
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(SALTS)))
+        df = limited(salted, [group, "_salt"]).drop("_salt")
+    return limited(df, [group])
+
+
 def overlapping_chunks(df: DataFrame, position: str, size: int, overlap: int, chunk: str = "chunk") -> DataFrame:
     """Assign rows to chunks of `size` positions; the last `overlap` rows of a chunk are repeated in
     the next one, where they only serve as history (`home` is false for them)."""

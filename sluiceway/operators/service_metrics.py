@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sluiceway.functions.clock import seconds_between
 from sluiceway.functions.columns import percent_text, quoted, short_decimal
-from sluiceway.operators.ranking import exact_positions, overlapping_chunks
+from sluiceway.operators.ranking import exact_positions, first_per_group, overlapping_chunks
 
 # Window length, percentiles, histogram borders in seconds, alert limits.
 WINDOW = 1000
@@ -61,11 +61,8 @@ def service_snapshot(
         seen = log.agg(*totals).select("*", recent.scalar().alias("recent"))
         keys = []
     else:
-        rank = F.row_number().over(Window.partitionBy(group).orderBy(*recency))
-        recent = (
-            log.select(group, latency, ts, seq).withColumn("_rank", rank).where(F.col("_rank") <= window)
-            .groupBy(group).agg(figures)
-        )
+        last = first_per_group(log.select(group, latency, ts, seq), group, recency, window, seq)
+        recent = last.groupBy(group).agg(figures)
         seen = log.groupBy(group).agg(*totals).join(recent, group)
         keys = [group]
     n = F.col("total_requests")

@@ -6,13 +6,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sluiceway.functions.columns import quoted
+from sluiceway.functions.columns import quoted, row_json
 from sluiceway.operators.ranking import KeyCut, before_cut, cuts_after, repeat_row
 
 
 def row_digest(df: DataFrame) -> Column:
     """Digest of a whole row."""
-    return F.md5(F.to_json(F.struct(*[quoted(c) for c in sorted(df.columns)]), {"ignoreNullFields": "false"}))
+    return F.md5(row_json(sorted(df.columns), keep_nulls=True))
 
 
 def shuffle_key(df: DataFrame, id_col: str | None, seed: int) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sluiceway.operators.clean import flatten_payload, validate
 from sluiceway.operators.features import FeatureTransformer, engineer
@@ -14,18 +14,18 @@ from sluiceway.sources.files import load_raw
 SPLITS = ("train", "val", "test")
 
 
-def prepare(raw: DataFrame, keep_envelope: bool = False) -> DataFrame:
+def prepare(raw: DataFrame, keep_envelope: bool = False, payload_schema: T.StructType | None = None) -> DataFrame:
     """Flatten, validate and engineer raw rows.
 
     Flattening comes first: text inside a payload gets its features, and rows can be compared. The
     envelope's own columns differ between ingests of the same row, so they take part in the
-    deduplication only on request.
+    deduplication only on request. A given payload schema saves the pass that infers it.
     """
     flat = raw
     if "payload" in raw.columns:
         if not keep_envelope:
             raw = raw.select("payload", *[c for c in raw.columns if c not in RAW_RECORD.names])
-        flat = flatten_payload(raw)
+        flat = flatten_payload(raw, schema=payload_schema)
     return engineer(validate(flat))
 
 
@@ -38,7 +38,8 @@ def build_features(
     train: float = 0.8,
     val: float = 0.1,
     seed: int = 42,
-    json_schema=RAW_RECORD,
+    json_schema: T.StructType | None = RAW_RECORD,
+    payload_schema: T.StructType | None = None,
 ) -> dict[str, str]:
     """The whole feature job; returns the path of each split.
 
@@ -47,7 +48,7 @@ def build_features(
     opens only its files.
     """
     transformer = transformer or FeatureTransformer()
-    prepared = to_scratch_table(prepare(load_raw(spark, raw_path, json_schema)), "prepared")
+    prepared = to_scratch_table(prepare(load_raw(spark, raw_path, json_schema), payload_schema=payload_schema), "prepared")
     labelled = with_split(prepared, id_col=id_col, train=train, val=val, seed=seed)
     transformer.fit(labelled.where(F.col("split") == "train"))
     transformer.transform(labelled).write.mode("overwrite").partitionBy("split").parquet(features_path)

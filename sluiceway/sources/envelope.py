@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sluiceway.functions.columns import quoted
+from sluiceway.functions.columns import quoted, row_json
 from sluiceway.schemas import RAW_RECORD, SCHEMA_VERSION
 
 
@@ -26,5 +26,5 @@ def to_raw_envelope(df: DataFrame, id_col: str = "id", source: Column | None = N
     Give `source` for a table which was not read from files.
     """
     id_ = quoted(id_col) if id_col in df.columns else F.lit(None)
-    row = F.to_json(F.struct(*[quoted(c) for c in df.columns]))
-    return envelope(df, id_, source if source is not None else F.col("_metadata.file_path"), row)
+    from_ = source if source is not None else F.col("_metadata.file_path")
+    return envelope(df, id_, from_, row_json(df.columns))

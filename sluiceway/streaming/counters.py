@@ -6,9 +6,10 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
+from sluiceway.operators.ranking import first_per_group
 from sluiceway.operators.service_metrics import WINDOW, window_figures, status_counts
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -111,11 +112,9 @@ def rolling_snapshot(spark: SparkSession, path: str, window: int = WINDOW) -> Da
     written = spark.read.parquet(path)
     # One row per service and salt.
     newest = written.groupBy("service", "salt").agg(F.max("batch").alias("batch"))
-    rank = F.row_number().over(Window.partitionBy("service").orderBy(F.desc("ts"), F.desc("seq")))
+    held = written.join(newest, ["service", "salt", "batch"])
     return (
-        written.join(newest, ["service", "salt", "batch"])
-        .withColumn("_rank", rank)
-        .where(F.col("_rank") <= window)
+        first_per_group(held, "service", [F.desc("ts"), F.desc("seq")], window, "seq")
         .groupBy("service")
         .agg(F.collect_list("latency").alias("held"))
         .select("service", *window_figures(F.col("held")))

@@ -156,7 +156,8 @@ def test_split_divides_equal_ids_and_complete_copies(spark):
     same_id = spark.range(19).select(F.lit(7).alias("id"), F.col("id").alias("v"))
     copies = spark.range(19).select(F.lit(7).alias("id"), F.lit("x").alias("v"))
     mixed = spark.range(19).select(F.lit(7).alias("id"), (F.col("id") % 3).alias("v"))
-    for df in (same_id, copies, mixed):
+    moments = spark.range(19).select(F.lit(7).alias("id"), F.timestamp_micros(F.col("id")).alias("at"))
+    for df in (same_id, copies, mixed, moments):
         out = with_split(df, id_col="id")
         assert {r.split: r["count"] for r in out.groupBy("split").count().collect()} == {"train": 15, "val": 1, "test": 3}
         assert out.drop("split").exceptAll(df).count() == 0

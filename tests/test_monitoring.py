@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sluiceway.operators import drift
+from sluiceway.operators import drift, ranking
 from sluiceway.operators.drift import (
     check_drift,
     chi2_statistics,
@@ -88,6 +88,13 @@ def test_snapshot_per_service(spark):
     assert (rows["a"].mean_ms, rows["a"].total_requests, rows["b"].error_rate, rows["b"].p99_ms) == (7.5, 10, 1.0, 5.0)
 
 
+def test_long_windows_are_limited_within_salts_first(spark, monkeypatch):
+    log = log_of(spark, range(200), service="a").unionByName(log_of(spark, [1.0, 2.0], service="b"))
+    expected = [tuple(r) for r in service_snapshot(log, group="service", window=30).orderBy("service").collect()]
+    monkeypatch.setattr(ranking, "GROUP_LIMIT", 3)
+    assert [tuple(r) for r in service_snapshot(log, group="service", window=30).orderBy("service").collect()] == expected
+
+
 def test_rolling_latency_over_chunks_equals_a_plain_window(spark):
     draw = random.Random(5)
     rows = [
