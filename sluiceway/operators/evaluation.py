@@ -152,7 +152,6 @@ def early_stopping(
     loss: str = "loss",
     patience: int = PATIENCE,
     min_delta: float = MIN_DELTA,
-    numbered: bool = True,
     fold_rows: int = FOLD_ROWS,
 ) -> DataFrame:
     """run, stop_epoch (null when training was never stopped), best_loss when it ended.
@@ -163,15 +162,20 @@ def early_stopping(
     the `patience` losses before it. Such functions can be composed in any grouping: epochs are
     folded in chunks of `fold_rows`, chunks in chunks of chunks, and no run is ever one task.
 
-    `numbered` says that epochs count 1, 2, 3, ... in each run; otherwise they are numbered first.
+    Epochs that do not count 1, 2, 3, ... in every run are numbered first.
     """
     rows = metrics.select(quoted(run).alias("run"), quoted(epoch).alias("epoch"), quoted(loss).cast("double").alias("loss"))
-    if numbered:
-        rows = rows.withColumn("pos", F.col("epoch").cast("bigint") - 1)
-    else:
-        rows = exact_positions(rows, ["run"], ["epoch"])
+    counted = rows.withColumn("pos", F.col("epoch").cast("bigint") - 1)
+    n, last = F.col("n"), F.col("last")
+    complete = (n == last + 1) & (F.col("first") == 0) & (F.col("total") * 2 == n * last)
+    longest, consecutive = (
+        counted.groupBy("run")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("pos").alias("last"), F.min("pos").alias("first"), F.sum("pos").alias("total"))
+        .agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.bool_and(complete), F.lit(True)))
+        .first()
+    )
+    rows = counted if consecutive else exact_positions(rows, ["run"], ["epoch"])
     fold_rows = max(fold_rows, patience + 1)
-    longest = (rows.agg(F.max("pos")).first()[0] or 0) + 1
 
     history = Window.partitionBy("run", "chunk").orderBy("pos")
     best_before = F.array(*[F.coalesce(F.lag("loss", c + 1).over(history), double_lit(math.inf)) for c in range(patience)])

@@ -19,9 +19,9 @@ from sluiceway.session import to_scratch_table
 
 # Rows that one task may sort once a search is narrow enough.
 BRACKET_ROWS = 200_000
-# Bins per range and round of a search, and the rounds after which any double is isolated.
+# Bins per range and round of a search, and the rounds after which the rest is sorted as it is.
 ZOOM_BINS = 1024
-MAX_ROUNDS = 12
+MAX_ROUNDS = 24
 # Spark's own bound for limiting ranks before a shuffle, and the salts used beyond it.
 GROUP_LIMIT = 1000
 SALTS = 64
@@ -241,7 +241,9 @@ def values_in_ranges(df: DataFrame, ranges: list[ValueRange], *kept: Column) ->
 def equal_width_bin(bins: int) -> Column:
     """Bin of v between low and high, rising with v; halves keep the widest ranges from overflowing."""
     v, low, high = F.col("v") / 2, F.col("low") / 2, F.col("high") / 2
-    share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (v - low) / (high - low)))
+    # A range too narrow to halve has one bin.
+    place = F.coalesce(F.try_divide(v - low, high - low), F.lit(0.0))
+    share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), place))
     return F.least(F.lit(bins - 1), F.floor(share * bins)).cast("int")
 
 

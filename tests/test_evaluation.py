@@ -127,7 +127,7 @@ def test_early_stop_numbers_epochs_with_gaps(spark):
     losses = [3, 2, 2, 2, 2, 1]
     rows = [("r", 10 * e, float(v)) for e, v in enumerate(losses, 1)]
     df = spark.createDataFrame(rows, "run string, epoch int, loss double")
-    assert early_stopping(df, numbered=False, fold_rows=4).first().stop_epoch == 50
+    assert early_stopping(df, fold_rows=4).first().stop_epoch == 50
 
 
 def test_best_checkpoint(spark):

@@ -197,7 +197,7 @@ def test_positions_keep_null_groups(spark):
 def test_order_statistics_equal_a_sort(spark, monkeypatch, limit):
     monkeypatch.setattr(ranking, "BRACKET_ROWS", limit)
     draw = random.Random(3)
-    values = [draw.choice([0.0, 1.0, draw.gauss(0, 1), 1e300, -1e-300]) for _ in range(700)]
+    values = [draw.choice([0.0, 1.0, draw.gauss(0, 1), 1e300, -1e-300, 5e-324]) for _ in range(700)]
     df = spark.createDataFrame([(v, float(i % 2)) for i, v in enumerate(values)], "x double, y double")
     wanted = [1, 2, 175, 350, 351, 525, 699, 700]
     stats = column_stats(df, ["x", "y"])
