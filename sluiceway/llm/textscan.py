@@ -118,6 +118,11 @@ def runs(kind: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at[:-1][inside], at[1:][inside]
 
 
+def lowered(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z as a-z."""
+    return _LOWER[data]
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> Words:
     starts, ends = runs((~_SPACE[data]).view(np.uint8), offsets)
     first = np.searchsorted(starts, offsets)
