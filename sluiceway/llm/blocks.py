@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 16 << 20
 
 
 def in_blocks(docs: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:

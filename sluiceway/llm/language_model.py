@@ -15,6 +15,8 @@ documents; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -30,32 +32,46 @@ _ANSWER = "block int, bucket int, kind int, counts binary, tokens long, types lo
 _RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _tokens(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(tokens, tokens before, documents' first places and the end) of all texts of a block, ends included."""
-    parts, counts = [], []
-    for _, data, offsets in textscan.slices(table["text"]):
+def _tokens(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Slices of a block's texts: (number of the first, tokens with ends, tokens before, texts' first places and the end)."""
+    for at, data, offsets in textscan.slices(table["text"]):
         found = textscan.words(data, offsets)
-        parts.append(found.hash)
-        counts.append(np.diff(found.first))
-    counts = np.concatenate([*counts, np.zeros(0, dtype=np.int64)])
-    first = np.concatenate([[0], np.cumsum(counts + 1)]).astype(np.int64)
-    tokens = np.full(first[-1], _END, dtype=np.uint64)
-    word = np.ones(first[-1], dtype=bool)
-    word[first[1:] - 1] = False
-    tokens[word] = np.concatenate([*parts, np.zeros(0, dtype=np.uint64)])
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[first[:-1]] = _START
-    return tokens, before, first
+        first = found.first + np.arange(len(found.first))
+        tokens = np.full(first[-1], _END, dtype=np.uint64)
+        word = np.ones(first[-1], dtype=bool)
+        word[first[1:] - 1] = False
+        tokens[word] = found.hash
+        before = np.empty_like(tokens)
+        before[1:] = tokens[:-1]
+        before[first[:-1]] = _START
+        yield at, tokens, before, first
 
 
 def _pairs(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return textscan.mix(before * np.uint64(0x9FB21C651E98DF25) + tokens)
 
 
-def _sorted_distinct(values: np.ndarray) -> np.ndarray:
-    values = np.sort(values)
-    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes of all parts and their summed counts."""
+    hashes = np.concatenate([h for h, _ in parts])
+    order = np.argsort(hashes)
+    hashes, counts = hashes[order], np.concatenate([c for _, c in parts])[order]
+    starts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+    return hashes[starts], np.add.reduceat(counts, starts)
+
+
+def _grams(table: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each order the block's distinct n-grams, sorted, with their counts in training texts."""
+    train = table["train"].to_numpy()
+    parts: list[list] = [[], []]
+    for at, tokens, before, first in _tokens(table):
+        learnt = np.repeat(train[at : at + len(first) - 1], np.diff(first))
+        for kept, grams in zip(parts, (tokens, _pairs(before, tokens)), strict=True):
+            order = np.argsort(grams)
+            grams = grams[order]
+            starts = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+            kept.append((grams[starts], np.add.reduceat(learnt[order].astype(np.int64), starts)))
+    return [_summed(kept) for kept in parts]
 
 
 def score_texts(docs: DataFrame, train: Column, mu: float = MU, block_bytes: int = blocks.BLOCK_BYTES) -> DataFrame:
@@ -68,15 +84,9 @@ def score_texts(docs: DataFrame, train: Column, mu: float = MU, block_bytes: int
     rows, n = blocks.in_blocks(rows, block_bytes=block_bytes)
 
     def question(table: pa.Table) -> pa.Table:
-        tokens, before, first = _tokens(table)
-        learnt = np.repeat(table["train"].to_numpy(), np.diff(first))
         block = table["block"][0].as_py()
         out = []
-        for kind, grams in ((1, tokens), (2, _pairs(before, tokens))):
-            known = _sorted_distinct(grams)
-            seen, times = np.unique(grams[learnt], return_counts=True)
-            counts = np.zeros(len(known), dtype=np.int64)
-            counts[np.searchsorted(known, seen)] = times
+        for kind, (known, counts) in enumerate(_grams(table), 1):
             cut = blocks.cuts(known, n)
             out += [(b, block, kind, known[x:y].tobytes(), counts[x:y].tobytes()) for b, (x, y) in enumerate(zip(cut, cut[1:], strict=False)) if x < y]
         names = ("bucket", "block", "kind", "hashes", "counts")
@@ -107,39 +117,37 @@ def score_texts(docs: DataFrame, train: Column, mu: float = MU, block_bytes: int
     def read(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.table({name: pa.array([], t) for name, t in _RESULT_TYPES})
-        tokens, before, first = _tokens(table)
         got = answers.sort_by("bucket")
         n_train, n_types = int(np.sum(got["tokens"].to_numpy())), int(np.sum(got["types"].to_numpy()))
         kinds = got["kind"].to_numpy()
-        parts = got["counts"].to_pylist()
+        replies = [np.frombuffer(b"".join(got["counts"].filter(pa.array(kinds == k)).to_pylist()), dtype=np.int64) for k in (1, 2)]
         root = 0.1 * (n_types + 1) + n_train
-
-        def arcs(kind: int, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            return _sorted_distinct(grams), np.frombuffer(b"".join(p for k, p in zip(kinds, parts, strict=True) if k == kind), dtype=np.int64)
-
-        states, count = arcs(1, tokens)
-        place = np.searchsorted(states, tokens)
-        c = count[place]
-        p = (c + 0.1) / root
-        # The state carried to each token: its predecessor's; a text begins in the start state, passed as often as texts end.
-        carried = np.empty_like(c)
-        carried[1:] = c[:-1]
-        carried[first[:-1]] = count[np.searchsorted(states, _END)]
-        pairs = _pairs(before, tokens)
-        known, pair_count = arcs(2, pairs)
-        arc = pair_count[np.searchsorted(known, pairs)]
-        failed = np.log10(mu / (carried + mu)) + np.log10(p)
-        weight = np.where(arc > 0, np.log10((arc + mu * p) / (carried + mu)), failed)
-        lengths = np.diff(first)
+        (states, _), (arcs, _) = _grams(table)
+        count, arc_count = replies
+        texts = count[np.searchsorted(states, _END)]
+        out = []
+        for _, tokens, before, first in _tokens(table):
+            c = count[np.searchsorted(states, tokens)]
+            p = (c + 0.1) / root
+            # The state carried to each token is its predecessor's; a text begins in the start state, left once per text.
+            carried = np.empty_like(c)
+            carried[1:] = c[:-1]
+            carried[first[:-1]] = texts
+            arc = arc_count[np.searchsorted(arcs, _pairs(before, tokens))]
+            failed = np.log10(mu / (carried + mu)) + np.log10(p)
+            weight = np.where(arc > 0, np.log10((arc + mu * p) / (carried + mu)), failed)
+            known = textscan.segment_sums((c > 0).astype(np.float64), first).astype(np.int64)
+            out.append((np.diff(first), known, textscan.segment_sums(np.log10(p), first), textscan.segment_sums(weight, first)))
+        lengths, known, base, score = (np.concatenate(x) for x in zip(*out, strict=True))
         return pa.table(
             {
                 "doc_id": table["doc_id"],
                 "held_out": pa.array(~table["train"].to_numpy()),
                 "n_tokens": pa.array(lengths, pa.int64()),
-                "n_known": pa.array(textscan.segment_sums((c > 0).astype(np.float64), first).astype(np.int64)),
+                "n_known": pa.array(known, pa.int64()),
                 "train_tokens": pa.array(np.full(len(lengths), n_train, dtype=np.int64)),
-                "base_score": pa.array(textscan.segment_sums(np.log10(p), first)),
-                "score": pa.array(textscan.segment_sums(weight, first)),
+                "base_score": pa.array(base),
+                "score": pa.array(score),
             }
         )
 
