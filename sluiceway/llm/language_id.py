@@ -170,3 +170,19 @@ def predict(docs: DataFrame, model: Model, held_out: Column) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out.alias("held_out"))
     return rows.mapInArrow(predicted, SCHEMA)
+
+
+MIN_SCORE = 0.5
+
+
+def accepted(docs: DataFrame, model: Model, min_score: float = MIN_SCORE) -> DataFrame:
+    """The documents, with all their columns, whose language is determined with at least `min_score`."""
+    spread = docs.sparkSession.sparkContext.broadcast(model)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, scores = identify(batch["text"].to_pylist(), spread.value)
+            keep = [name != UNDETERMINED and p >= min_score for name, p in zip(names, scores, strict=True)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)

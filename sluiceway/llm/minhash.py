@@ -185,3 +185,11 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similarity: int = SIMILAR
     return result.select(
         "doc_id", "text_key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "node"
     )
+
+
+def without_near_duplicates(docs: DataFrame, k: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
+    """One document of each group, with all its columns; of repeated rows one stays."""
+    least = F.lit(np.iinfo(np.int64).min)
+    kept = near_duplicates(docs, k, similarity).where("kept").select(F.coalesce("doc_id", least).alias("id"), F.col("text_key").alias("key"))
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), least).alias("id"), F.xxhash64("text").alias("key"))
+    return rows.join(kept.distinct(), ["id", "key"], "left_semi").dropDuplicates(["id", "key"]).select("row.*")

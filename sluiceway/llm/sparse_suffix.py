@@ -19,9 +19,11 @@ rows without id are one document too. A passage repeated inside one document alo
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from sluiceway.llm import blocks, textscan
 
@@ -238,3 +240,40 @@ def merged(spans: DataFrame) -> DataFrame:
         .agg(F.min("start").alias("start"), F.max("end").alias("end"))
         .select("doc_id", "text_key", "start", "end", "first")
     )
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH, block_bytes: int = blocks.BLOCK_BYTES) -> DataFrame:
+    """The documents, with all their columns, without passages that a document of a lesser id holds too.
+
+    What is left around a cut is joined by the white space before the cut. `n_chars`, if there, follows the text.
+    Documents of which the cuts leave no word are left out.
+    """
+    spans = repeated_spans(docs, length, block_bytes).where(~F.col("first"))
+    spans = spans.groupBy(F.coalesce("doc_id", F.lit(_NULL_ID)).alias("id"), F.col("text_key").alias("key")).agg(
+        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans")
+    )
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("id"), F.xxhash64("text").alias("key"))
+    joined = rows.join(spans, ["id", "key"], "left").select("row", "spans", F.col("row.text").alias("text"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, spans = batch["text"].to_pylist(), batch["spans"].to_pylist()
+            keep = [True] * len(texts)
+            for i, own in enumerate(spans):
+                if not own:
+                    continue
+                raw = texts[i].encode()
+                data = np.frombuffer(raw, dtype=np.uint8)
+                found = textscan.words(data, np.array([0, len(data)]))
+                parts, at = [], 0
+                for span in own:
+                    begin, end = int(found.start[span["start"]]), int(found.end[span["end"] - 1])
+                    parts.append(raw[at : max(at, begin)])
+                    at = max(at, end)
+                texts[i] = b"".join([*parts, raw[at:]]).decode()
+                keep[i] = bool(texts[i].strip(" \t\n\v\f\r"))
+            yield pa.record_batch([batch["row"], pa.array(texts, pa.string())], ["row", "text"]).filter(pa.array(keep, pa.bool_()))
+
+    done = joined.mapInArrow(cut, T.StructType([T.StructField("row", joined.schema["row"].dataType), T.StructField("text", T.StringType())]))
+    changed = {"text": F.col("text"), "n_chars": F.when(F.col("row.text").eqNullSafe(F.col("text")), F.col("row.n_chars")).otherwise(F.length("text")) if "n_chars" in docs.columns else None}
+    return done.select(*[(changed[c].cast(docs.schema[c].dataType) if changed.get(c) is not None else F.col("row").getField(c)).alias(c) for c in docs.columns])

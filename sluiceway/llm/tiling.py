@@ -15,10 +15,11 @@ what is broadcast is bounded whatever the benchmark's size. Repeated items and r
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from sluiceway.llm import textscan
@@ -91,19 +92,8 @@ def _items(benchmark: DataFrame, part_bytes: int) -> list[DataFrame]:
     return [rows.where(part == i) for i in range(parts)]
 
 
-def contaminated(
-    docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, shortest: int = MIN_TILE, part_bytes: int = PART_BYTES
-) -> DataFrame:
-    """One row per document and item that it covers: doc_id, text_key, item_id, words, covered words and the tiles."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
-    out = None
-    for part in _items(benchmark, part_bytes):
-        found = _contaminated_by(rows, part.toArrow(), coverage, shortest)
-        out = found if out is None else out.union(found)
-    return out if out is not None else docs.sparkSession.createDataFrame([], SCHEMA)
-
-
-def _contaminated_by(rows: DataFrame, items: pa.Table, coverage: float, shortest: int) -> DataFrame:
+def _index(items: pa.Table, shortest: int) -> tuple:
+    """(item ids, their words, sorted seeds, the item of each seed, items shorter than a seed)."""
     names = items["item_id"].to_pylist()
     sequences = []
     for _, data, offsets in textscan.slices(items["text"]):
@@ -117,38 +107,58 @@ def _contaminated_by(rows: DataFrame, items: pa.Table, coverage: float, shortest
     seed, owner = np.concatenate([*seeds, np.zeros(0, dtype=np.uint64)]), np.concatenate([*owners, np.zeros(0, dtype=np.int64)])
     order = np.argsort(seed, kind="stable")
     small = [i for i, words in enumerate(sequences) if 0 < len(words) < shortest]
-    spread = rows.sparkSession.sparkContext.broadcast((names, sequences, seed[order], owner[order], small))
+    return names, sequences, seed[order], owner[order], small
 
+
+def _hits(texts: pa.Array, index: tuple, coverage: float, shortest: int) -> Iterator[tuple[int, int, list[tuple[int, int, int]]]]:
+    """(number of the text, number of the item, tiles) of contaminated texts."""
+    names, sequences, seed, owner, small = index
+    sizes = np.array([len(x) for x in sequences])
+    for at, data, offsets in textscan.slices(texts):
+        found = textscan.words(data, offsets)
+        pairs = set()
+        if len(seed):
+            windows = textscan.windows(found.hash, shortest)
+            low = np.searchsorted(seed, windows)
+            hit = found.doc[: len(windows)] == found.doc[shortest - 1 :]
+            hit &= seed[np.minimum(low, len(seed) - 1)] == windows
+            docs, low = np.unique(np.stack([found.doc[: len(windows)][hit], low[hit]]), axis=1)
+            times = np.searchsorted(seed, seed[low], side="right") - low if len(low) else low
+            shift = np.repeat(low - np.cumsum(times) + times, times)
+            meets, n = np.unique(np.repeat(docs, times) * len(names) + owner[shift + np.arange(len(shift))], return_counts=True)
+            # A seed's place is worth `shortest` words at most: pairs that cannot reach the coverage are left.
+            pairs = {divmod(m, len(names)) for m in meets[n * shortest >= coverage * sizes[meets % len(names)]].tolist()}
+        for i in small:
+            windows = textscan.windows(found.hash, len(sequences[i]))
+            inside = found.doc[: len(windows)] == found.doc[len(sequences[i]) - 1 :]
+            same = inside & (windows == textscan.windows(sequences[i], len(sequences[i]))[0])
+            pairs |= {(d, i) for d in found.doc[: len(windows)][same].tolist()}
+        for d, i in sorted(pairs):
+            tiles = tile(found.hash[found.first[d] : found.first[d + 1]], sequences[i], min(shortest, len(sequences[i])))
+            if sum(n for _, _, n in tiles) >= coverage * len(sequences[i]):
+                yield at + d, i, tiles
+
+
+def contaminated(
+    docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, shortest: int = MIN_TILE, part_bytes: int = PART_BYTES
+) -> DataFrame:
+    """One row per document and item that it covers: doc_id, text_key, item_id, words, covered words and the tiles."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
+    out = docs.sparkSession.createDataFrame([], SCHEMA)
+    for part in _items(benchmark, part_bytes):
+        spread = docs.sparkSession.sparkContext.broadcast(_index(part.toArrow(), shortest))
+        out = out.union(rows.mapInArrow(_report(spread, coverage, shortest), SCHEMA))
+    return out
+
+
+def _report(spread: Broadcast, coverage: float, shortest: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, sequences, seed, owner, small = spread.value
-        sizes = np.array([len(x) for x in sequences])
+        names, sequences = spread.value[:2]
         for batch in batches:
             ids, keys, out = batch["doc_id"].to_pylist(), batch["text_key"].to_pylist(), []
-            for at, data, offsets in textscan.slices(batch["text"]):
-                found = textscan.words(data, offsets)
-                pairs = set()
-                if len(seed):
-                    windows = textscan.windows(found.hash, shortest)
-                    low = np.searchsorted(seed, windows)
-                    hit = found.doc[: len(windows)] == found.doc[shortest - 1 :]
-                    hit &= seed[np.minimum(low, len(seed) - 1)] == windows
-                    docs, low = np.unique(np.stack([found.doc[: len(windows)][hit], low[hit]]), axis=1)
-                    times = np.searchsorted(seed, seed[low], side="right") - low if len(low) else low
-                    shift = np.repeat(low - np.cumsum(times) + times, times)
-                    meets, n = np.unique(np.repeat(docs, times) * len(names) + owner[shift + np.arange(len(shift))], return_counts=True)
-                    # A seed's place is worth `shortest` words at most: pairs that cannot reach the coverage are left.
-                    pairs = {divmod(m, len(names)) for m in meets[n * shortest >= coverage * sizes[meets % len(names)]].tolist()}
-                for i in small:
-                    windows = textscan.windows(found.hash, len(sequences[i]))
-                    inside = found.doc[: len(windows)] == found.doc[len(sequences[i]) - 1 :]
-                    same = inside & (windows == textscan.windows(sequences[i], len(sequences[i]))[0])
-                    pairs |= {(d, i) for d in found.doc[: len(windows)][same].tolist()}
-                for d, i in sorted(pairs):
-                    tiles = tile(found.hash[found.first[d] : found.first[d + 1]], sequences[i], min(shortest, len(sequences[i])))
-                    covered = sum(n for _, _, n in tiles)
-                    if covered >= coverage * len(sequences[i]):
-                        spans = [{"doc_word": x, "item_word": y, "words": n} for x, y, n in tiles]
-                        out.append((ids[at + d], keys[at + d], names[i], len(sequences[i]), covered, spans))
+            for d, i, tiles in _hits(batch["text"], spread.value, coverage, shortest):
+                spans = [{"doc_word": x, "item_word": y, "words": n} for x, y, n in tiles]
+                out.append((ids[d], keys[d], names[i], len(sequences[i]), sum(n for _, _, n in tiles), spans))
             columns = list(zip(*out, strict=True)) if out else [()] * 6
             types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), _TILES)
             yield pa.record_batch(
@@ -156,4 +166,24 @@ def _contaminated_by(rows: DataFrame, items: pa.Table, coverage: float, shortest
                 ["doc_id", "text_key", "item_id", "item_words", "covered_words", "tiles"],
             )
 
-    return rows.mapInArrow(searched, SCHEMA)
+    return searched
+
+
+def without_contaminated(
+    docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, shortest: int = MIN_TILE, part_bytes: int = PART_BYTES
+) -> DataFrame:
+    """The documents, with all their columns, that no item contaminates; nothing is shuffled."""
+    for part in _items(benchmark, part_bytes):
+        spread = docs.sparkSession.sparkContext.broadcast(_index(part.toArrow(), shortest))
+        docs = docs.mapInArrow(_filter(spread, coverage, shortest), docs.schema)
+    return docs
+
+
+def _filter(spread: Broadcast, coverage: float, shortest: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.ones(batch.num_rows, dtype=bool)
+            keep[[d for d, _, _ in _hits(batch["text"], spread.value, coverage, shortest)]] = False
+            yield batch.filter(pa.array(keep))
+
+    return kept
