@@ -6,9 +6,12 @@ keep the lowest BITS bits of each minimum, packed into integers; the share of eq
 lanes that agree by chance (2^-BITS), estimates the similarity and drops candidates that are far off.
 What is left is confirmed on the full sets.
 
-No key's members are paired with each other. First each member meets one hub of its key; the confirmed
-links make components. Then only members of different components under one key are still to be compared,
-so a group of copies never costs its square, and no link between different components is left out.
+No key's members are all paired with each other. First each member meets one hub of its key; the confirmed
+links make components. For the keys that hold several components, each member's own shingles (those that no
+other member of such keys has) are counted: they bound every similarity it can reach. Members that cannot
+reach the limit with anyone go; the others meet the member with the smallest own share; and what is then
+still in different components is compared pair by pair where the bounds and the estimate allow a link. So a
+group of copies does not cost its square, and no link between different components is left out.
 Components are found by alternating large-star and small-star steps on tables in the shared folder.
 
 Null texts and texts without words have an empty set and no links. A missing doc_id takes part, but does
@@ -134,14 +137,44 @@ def components(links: DataFrame) -> DataFrame:
         before = state
 
 
+def _apart(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of the keys that hold more than one component, with their component's `root`."""
+    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
+    return placed.join(several, "key", "left_semi")
+
+
+def _bounded(members: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """Add `cap`: how many of a member's shingles any other member has."""
+
+    def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, data, offsets in textscan.slices(batch["text"]):
+                values, first = textscan.distinct(*textscan.shingles(textscan.words(data, offsets), k))
+                of = pa.array(np.repeat(np.arange(at, at + len(first) - 1), np.diff(first)))
+                yield pa.record_batch([pa.array(textscan.signed(values)), batch["node"].take(of)], ["shingle", "node"])
+
+    own_texts = texts.join(members.select("node").distinct(), "node", "left_semi").select("text", "node")
+    shingles = own_texts.mapInArrow(exploded, "shingle long, node binary")
+    single = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1")
+    own = single.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    return members.join(own, "node", "left").withColumn("cap", F.col("size") - F.coalesce("own", F.lit(0))).drop("own")
+
+
+def _reachable(size_a: str, size_b: str, similarity: int) -> Column:
+    """Whether sets of at least these sizes can be similar enough, as at most `cap` of either is shared."""
+    most = F.least("cap_a", "cap_b")
+    return 100 * most >= similarity * F.greatest(most, F.col(size_a) + F.col(size_b) - most)
+
+
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
     """doc_id, text_key, n_shingles, component_id and kept of every row."""
     every = to_scratch_table(prints(docs, k), "prints")
     full = every.where("n_shingles > 0")
     nodes = full.groupBy("node").agg(
-        F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_key", "bands", "lanes")).alias("r")
+        F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_key", "n_shingles", "bands", "lanes")).alias("r")
     )
-    keys = nodes.select("node", "r.lanes", F.explode("r.bands").alias("key"))
+    keys = nodes.select("node", F.col("r.n_shingles").alias("size"), "r.lanes", F.explode("r.bands").alias("key"))
     hubs = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("hub")).where("n > 1").select("key", "hub")
     shared = to_scratch_table(keys.join(hubs, "key"), "keys")
 
@@ -161,19 +194,22 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similarity: int = SIMILAR
     roots = components(links)
 
     # What shares a key and isn't in one component yet.
-    placed = to_scratch_table(shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed")
-    open_keys = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-    left = placed.join(open_keys, "key", "left_semi")
-    groups = left.select("key", "root").distinct()
-    across = groups.select("key", F.col("root").alias("root_a")).join(groups.select("key", F.col("root").alias("root_b")), "key").where("root_a < root_b")
-    side = lambda x: left.select("key", F.col("root").alias(f"root_{x}"), F.col("node").alias(x), F.col("lanes").alias(f"lanes_{x}"))
-    more = (
-        across.join(side("a"), ["key", "root_a"])
-        .join(side("b"), ["key", "root_b"])
-        .where(estimate("lanes_a", "lanes_b") >= far)
-        .select("a", "b")
-        .distinct()
-    )
+    left = to_scratch_table(_bounded(_apart(shared.drop("hub"), roots), texts, k).where(100 * F.col("cap") >= similarity * F.col("size")), "apart")
+    hub = left.groupBy("key").agg(F.min(F.struct((-F.col("cap") / F.col("size")).alias("own"), "node", "root", "lanes", "size", "cap")).alias("hub"))
+    one = left.join(hub, "key").where(F.col("root") != F.col("hub.root")).select("node", "lanes", "size", "cap", "hub")
+    met = one.select(*[F.col(c).alias(f"{c}_a") for c in ("node", "lanes", "size", "cap")], *[F.col(f"hub.{c}").alias(f"{c}_b") for c in ("node", "lanes", "size", "cap")])
+    near = (estimate("lanes_a", "lanes_b") >= far) & _reachable("size_a", "size_b", similarity)
+    met = met.where(near).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    links = to_scratch_table(links.union(_confirmed(met, texts, k, similarity)), "confirmed")
+    roots = components(links)
+
+    left = to_scratch_table(_apart(left.drop("root"), roots), "apart")
+    groups = left.groupBy("key", "root").agg(F.max("cap").alias("cap"), F.min("size").alias("size"))
+    group = lambda x: groups.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("root", "size", "cap")])
+    across = group("a").join(group("b"), "key").where((F.col("root_a") < F.col("root_b")) & _reachable("size_a", "size_b", similarity))
+    side = lambda x: left.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("root", "node", "lanes", "size", "cap")])
+    more = across.select("key", "root_a", "root_b").join(side("a"), ["key", "root_a"]).join(side("b"), ["key", "root_b"])
+    more = more.where(near).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     links = links.union(_confirmed(more, texts, k, similarity))
     roots = components(links)
 
