@@ -32,10 +32,12 @@ from sluiceway.session import to_scratch_table
 SHINGLE = 4
 SIMILARITY = 80  # hundredths
 BANDS, ROWS, BITS = 24, 4, 4
-# Estimates err by 0.04 (one standard deviation, near the limit); candidates below the limit less this are dropped.
-MARGIN = 0.2
+# Minima in a signature; the first BANDS x ROWS make the bands.
+MINIMA = 256
+# Estimates err by 0.026 (one standard deviation, near the limit); candidates below the limit less this are dropped.
+MARGIN = 0.11
 _LANES = 64 // BITS
-_SEEDS = textscan.mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) | np.uint64(1)
+_SEEDS = textscan.mix(np.arange(1, MINIMA + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) | np.uint64(1)
 
 PRINTS = "doc_id long, text_key long, n_shingles long, node binary, bands array<long>, lanes array<long>"
 
@@ -52,13 +54,13 @@ def prints(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
                 node = np.empty((len(first) - 1, 2), dtype=np.uint64)
                 node[:, 0] = textscan.segment_sums(textscan.mix(own), own_first)
                 node[:, 1] = textscan.segment_sums(textscan.mix(own ^ np.uint64(0x5851F42D4C957F2D)), own_first)
-                minima = np.empty((len(first) - 1, BANDS * ROWS), dtype=np.uint64)
+                minima = np.empty((len(first) - 1, MINIMA), dtype=np.uint64)
                 for i, seed in enumerate(_SEEDS):
                     minima[:, i] = textscan.segment_minima(found * seed, first)
                 minima = textscan.mix(minima)
                 keys = np.arange(BANDS, dtype=np.uint64)[None, :] + np.zeros((len(minima), 1), dtype=np.uint64)
                 for r in range(ROWS):
-                    keys = textscan.mix(keys * np.uint64(0x9FB21C651E98DF25) + minima[:, r::ROWS])
+                    keys = textscan.mix(keys * np.uint64(0x9FB21C651E98DF25) + minima[:, r : BANDS * ROWS : ROWS])
                 low = (minima & np.uint64((1 << BITS) - 1)).reshape(len(minima), -1, _LANES)
                 lanes = (low << (np.arange(_LANES, dtype=np.uint64) * np.uint64(BITS))).sum(axis=2, dtype=np.uint64)
                 n = len(node)
@@ -84,7 +86,7 @@ def estimate(a: str, b: str) -> Column:
     top = 64 - BITS
     lane = f"bit_count(({fold}) & {ones}L) + IF(shiftrightunsigned(x, {top}) = 0, 0, 1)"
     different = F.expr(f"aggregate(zip_with({a}, {b}, (p, q) -> p ^ q), 0, (s, x) -> s + {lane})")
-    same = 1 - different / F.lit(float(BANDS * ROWS))
+    same = 1 - different / F.lit(float(MINIMA))
     chance = 2.0**-BITS
     return (same - F.lit(chance)) / F.lit(1 - chance)
 
@@ -174,7 +176,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similarity: int = SIMILAR
     nodes = full.groupBy("node").agg(
         F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_key", "n_shingles", "bands", "lanes")).alias("r")
     )
-    keys = nodes.select("node", F.col("r.n_shingles").alias("size"), "r.lanes", F.explode("r.bands").alias("key"))
+    keys = nodes.select("node", F.explode("r.bands").alias("key"))
     hubs = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("hub")).where("n > 1").select("key", "hub")
     shared = to_scratch_table(keys.join(hubs, "key"), "keys")
 
@@ -187,14 +189,17 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similarity: int = SIMILAR
         "texts",
     )
     far = similarity / 100 - MARGIN
-    lanes = shared.select("node", "lanes").dropDuplicates(["node"])
-    pairs = shared.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"), F.col("lanes").alias("lanes_a")).dropDuplicates(["a", "b"])
-    pairs = pairs.join(lanes.select(F.col("node").alias("b"), F.col("lanes").alias("lanes_b")), "b")
+    about = to_scratch_table(
+        nodes.join(shared.select("node").distinct(), "node", "left_semi").select("node", F.col("r.n_shingles").alias("size"), "r.lanes", "r.bands"), "about"
+    )
+    pairs = shared.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    for x in ("a", "b"):
+        pairs = pairs.join(about.select(F.col("node").alias(x), F.col("lanes").alias(f"lanes_{x}")), x)
     links = to_scratch_table(_confirmed(pairs.where(estimate("lanes_a", "lanes_b") >= far), texts, k, similarity), "confirmed")
     roots = components(links)
 
     # What shares a key and isn't in one component yet.
-    left = to_scratch_table(_bounded(_apart(shared.drop("hub"), roots), texts, k).where(100 * F.col("cap") >= similarity * F.col("size")), "apart")
+    left = to_scratch_table(_bounded(_apart(shared.drop("hub"), roots).join(about, "node"), texts, k).where(100 * F.col("cap") >= similarity * F.col("size")), "apart")
     hub = left.groupBy("key").agg(F.min(F.struct((-F.col("cap") / F.col("size")).alias("own"), "node", "root", "lanes", "size", "cap")).alias("hub"))
     one = left.join(hub, "key").where(F.col("root") != F.col("hub.root")).select("node", "lanes", "size", "cap", "hub")
     met = one.select(*[F.col(c).alias(f"{c}_a") for c in ("node", "lanes", "size", "cap")], *[F.col(f"hub.{c}").alias(f"{c}_b") for c in ("node", "lanes", "size", "cap")])
@@ -204,12 +209,17 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similarity: int = SIMILAR
     roots = components(links)
 
     left = to_scratch_table(_apart(left.drop("root"), roots), "apart")
-    groups = left.groupBy("key", "root").agg(F.max("cap").alias("cap"), F.min("size").alias("size"))
-    group = lambda x: groups.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("root", "size", "cap")])
-    across = group("a").join(group("b"), "key").where((F.col("root_a") < F.col("root_b")) & _reachable("size_a", "size_b", similarity))
-    side = lambda x: left.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("root", "node", "lanes", "size", "cap")])
-    more = across.select("key", "root_a", "root_b").join(side("a"), ["key", "root_a"]).join(side("b"), ["key", "root_b"])
-    more = more.where(near).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    # Every member outside a key's largest component meets the members of the others, each pair under its first key.
+    sizes = left.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
+    side = lambda rows, x: rows.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("root", "node", "lanes", "bands", "size", "cap")])
+    rest = side(left, "a").join(main, "key").where("root_a <> main")
+    first_key = F.expr("filter(zip_with(bands_a, bands_b, (p, q) -> IF(p = q, p, NULL)), x -> x IS NOT NULL)[0]")
+    once = ((F.col("root_b") == F.col("main")) | (F.col("node_a") < F.col("node_b"))) & (F.col("root_a") != F.col("root_b"))
+    more = rest.join(
+        side(left, "b").withColumnRenamed("key", "key_b"), (F.col("key") == F.col("key_b")) & once & near & (first_key == F.col("key"))
+    )
+    more = more.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     links = links.union(_confirmed(more, texts, k, similarity))
     roots = components(links)
 
