@@ -29,6 +29,8 @@ from sluiceway.llm import blocks, textscan
 
 LENGTH = 50
 GRAM = 12
+# Several arrays of the size of a block's words are held at once.
+BLOCK_BYTES = 8 << 20
 _NULL_ID = np.iinfo(np.int64).min
 _ASK = "bucket int, block int, hashes binary, least binary, most binary"
 _ANSWER = "block int, bucket int, repeated binary"
@@ -94,7 +96,7 @@ def _grouped(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(values) else np.zeros(0, dtype=np.int64)
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, block_bytes: int = blocks.BLOCK_BYTES) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, text_key, start, end (in words), first: the maximal spans of each document whose every passage of
     `length` words occurs in another document too; `first` where this document holds the least doc_id of all of them.
     """
@@ -242,7 +244,7 @@ def merged(spans: DataFrame) -> DataFrame:
     )
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, block_bytes: int = blocks.BLOCK_BYTES) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents, with all their columns, without passages that a document of a lesser id holds too.
 
     What is left around a cut is joined by the white space before the cut. `n_chars`, if there, follows the text.
