@@ -97,7 +97,7 @@ def trial_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trial_choice_lowest(spark: SparkSession, sf_dir: str) -> DataFrame:
     trials = table(spark, sf_dir, "orders")
-    return best_trial(trials, "o_orderpriority", "o_orderkey", "o_totalprice", ["o_custkey"], "minimize", 1000)
+    return best_trial(trials, "o_orderpriority", "o_orderkey", "o_totalprice", ["o_custkey"], "minimize")
 
 
 def run_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,7 +263,7 @@ ORACLES = {
         SELECT o_orderpriority, o_orderkey, m AS value, o_custkey, o_orderstatus FROM r WHERE n = 1""",
     "best_trial_lowest": """
         WITH r AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice, o_orderkey) AS n
-                   FROM orders WHERE o_orderkey < 1000)
+                   FROM orders)
         SELECT o_orderpriority, o_orderkey, o_totalprice AS value, o_custkey FROM r WHERE n = 1""",
     "latest_run": """
         WITH r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders)

@@ -115,19 +115,16 @@ def best_trial(
     metric: str,
     params: list[str],
     direction: str = "maximize",
-    max_trials: int | None = None,
 ) -> DataFrame:
     """The best trial per study: its number, metric and parameters.
 
-    A null metric counts 0.0, the earliest of equal trials wins, trials numbered beyond the cap of
-    the study are ignored. One aggregate with map-side combine.
+    A null metric counts 0.0 and the earliest of equal trials wins. One aggregate with map-side combine.
     """
-    seen = trials.where(quoted(trial) < max_trials) if max_trials is not None else trials
     value = F.coalesce(quoted(metric).cast("double"), F.lit(0.0))
     signed = value if direction == "minimize" else -value
     chosen = F.min(F.struct(signed.alias("s"), quoted(trial).alias("t"), value.alias("v"), F.struct(*params).alias("p")))
     return (
-        seen.groupBy(study)
+        trials.groupBy(study)
         .agg(chosen.alias("_best"))
         .select(study, F.col("_best.t").alias(trial), F.col("_best.v").alias("value"), "_best.p.*")
     )

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+import sys
+
 from pyspark.sql import DataFrame, functions as F
 
-from sluiceway.functions.columns import quoted
+from sluiceway.functions.columns import quoted, valid_double
 from sluiceway.operators.ranking import (
     ValueRange,
     equal_width_bin,
@@ -55,8 +58,8 @@ def column_stats(df: DataFrame, columns: list[str]) -> dict[str, tuple]:
             F.count(v).alias(f"n{i}"),
             F.min(v).alias(f"lo{i}"),
             F.max(v).alias(f"hi{i}"),
-            F.avg(v).alias(f"mean{i}"),
-            F.stddev_samp(v).alias(f"std{i}"),
+            F.avg(valid_double(c)).alias(f"mean{i}"),
+            F.stddev_samp(valid_double(c)).alias(f"std{i}"),
         ]
     if not columns:
         return {}
@@ -111,13 +114,18 @@ def numeric_histogram(df: DataFrame, columns: list[str] | None = None, bins: int
     )
 
 
+def _open_end(v: float | None) -> float | None:
+    """The largest finite values stand for the infinities that were drawn in to them."""
+    return math.copysign(math.inf, v) if v is not None and abs(v) == sys.float_info.max else v
+
+
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Per numeric column: count, mean, sample deviation, min, exact quartiles, max."""
     columns = numeric_columns(df.schema) if columns is None else columns
     stats = column_stats(df, columns)
     quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], stats)
     rows = [
-        (c, stats[c][0], stats[c][3], stats[c][4], stats[c][1], *quartiles[c], stats[c][2]) for c in columns
+        (c, stats[c][0], stats[c][3], stats[c][4], _open_end(stats[c][1]), *quartiles[c], _open_end(stats[c][2])) for c in columns
     ]
     return df.sparkSession.createDataFrame(
         rows,

@@ -56,7 +56,10 @@ def check_retrieval_requests(requests: DataFrame) -> DataFrame:
 
 
 def feedback_records(bodies: DataFrame, body: str = "body") -> DataFrame:
-    """Feedback rows from JSON bodies: unknown prediction ids, source and time are filled in."""
+    """Feedback rows from JSON bodies: unknown prediction ids, source and time are filled in.
+
+    Bodies that are no JSON object (malformed, null) are no feedback and give no row.
+    """
     fields = "prediction_id string, true_label string, predicted_label string, source string"
     b = F.from_json(F.col(body), fields)
     columns = {
@@ -66,7 +69,8 @@ def feedback_records(bodies: DataFrame, body: str = "body") -> DataFrame:
         "timestamp": F.current_timestamp(),
         "source": F.coalesce(b["source"], F.lit("api")),
     }
-    return bodies.select(*[columns[f.name].alias(f.name) for f in FEEDBACK_RECORD.fields])
+    is_object = F.col(body).rlike(r"^\s*\{") & F.try_parse_json(body).isNotNull()
+    return bodies.where(is_object).select(*[columns[f.name].alias(f.name) for f in FEEDBACK_RECORD.fields])
 
 
 def record_problem() -> Column:

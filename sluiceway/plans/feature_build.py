@@ -51,5 +51,9 @@ def build_features(
     prepared = to_scratch_table(prepare(load_raw(spark, raw_path, json_schema), payload_schema=payload_schema), "prepared")
     labelled = with_split(prepared, id_col=id_col, train=train, val=val, seed=seed)
     transformer.fit(labelled.where(F.col("split") == "train"))
-    transformer.transform(labelled).write.mode("overwrite").partitionBy("split").parquet(features_path)
+    made = transformer.transform(labelled)
+    made.write.mode("overwrite").partitionBy("split").parquet(features_path)
+    filled = {r.split for r in labelled.select("split").distinct().collect()}
+    for name in set(SPLITS) - filled:  # an empty split has a folder too
+        made.where(F.col("split") == name).drop("split").write.mode("overwrite").parquet(f"{features_path}/split={name}")
     return {name: f"{features_path}/split={name}" for name in SPLITS}

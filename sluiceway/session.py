@@ -29,12 +29,15 @@ def build_session(app: str = "sluiceway", master: str | None = None, **conf: str
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: `spark.checkpoint.dir`, or the context's checkpoint
-    folder. Only where neither is set (tests, a laptop) a temporary one is made and set."""
+    folder. Where neither is set a local master gets a temporary one; a cluster has no folder that all
+    executors surely reach, so there it is an error."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sluiceway-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")

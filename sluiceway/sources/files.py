@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -64,7 +66,7 @@ def load_raw(
         _scan(spark, "json", path, JSON_LINES, json_schema),
         _scan(spark, "parquet", path, "*.parquet", mergeSchema="true"),
     ]
-    return _union([f if f is None else _outside(f, exclude) for f in frames], path)
+    return _union([f if f is None else _outside(f, exclude, path) for f in frames], path)
 
 
 def load_raw_records(spark: SparkSession, path: str, exclude: tuple[str, ...] = ("feedback",)) -> DataFrame:
@@ -72,8 +74,13 @@ def load_raw_records(spark: SparkSession, path: str, exclude: tuple[str, ...] =
     return load_raw(spark, path, RAW_RECORD, exclude)
 
 
-def _outside(df: DataFrame, folders: tuple[str, ...]) -> DataFrame:
-    file = F.col("_metadata.file_path")
+def _outside(df: DataFrame, folders: tuple[str, ...], root: str) -> DataFrame:
+    """Rows of files in none of the folders; only what lies below the scanned root counts."""
+    jvm_path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(root)
+    system = jvm_path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    base = re.sub(r"^\w+:/+", "/", system.makeQualified(jvm_path).toUri().toString()).rstrip("/")
+    full = F.regexp_replace("_metadata.file_path", r"^\w+:/+", "/")
+    file = F.when(full.startswith(f"{base}/"), F.substring(full, len(base) + 1, 1 << 30)).otherwise(full)
     for folder in folders:
         df = df.where(~file.contains(f"/{folder}/"))
     return df

@@ -74,8 +74,10 @@ def test_aliases_follow_the_order_of_promotion(spark):
 def test_best_trial(spark):
     rows = [("s", 0, 0.4, 1e-5), ("s", 1, 0.9, 2e-5), ("s", 2, 0.9, 3e-5), ("s", 3, None, 4e-5), ("s", 9, 2.0, 5e-5)]
     df = spark.createDataFrame(rows, "study string, trial int, f1 double, lr double")
-    high = best_trial(df, "study", "trial", "f1", ["lr"], max_trials=9).first()
-    assert (high.trial, high.value, high.lr) == (1, 0.9, 2e-5)
+    high = best_trial(df, "study", "trial", "f1", ["lr"]).first()
+    assert (high.trial, high.value, high.lr) == (9, 2.0, 5e-5)
+    tied = best_trial(df.where("trial < 9"), "study", "trial", "f1", ["lr"]).first()
+    assert (tied.trial, tied.value, tied.lr) == (1, 0.9, 2e-5)
     low = best_trial(df, "study", "trial", "f1", ["lr"], "minimize").first()
     assert (low.trial, low.value) == (3, 0.0)
 

@@ -137,7 +137,7 @@ def test_retrieval_requests(spark):
 
 
 def test_feedback_defaults(spark):
-    bodies = ['{"prediction_id":"abc-123","true_label":1,"predicted_label":0,"source":"test"}', "{}", '{"source":null}']
+    bodies = ['{"prediction_id":"abc-123","true_label":1,"predicted_label":0,"source":"test"}', "{}", '{"source":null}', "{bad", None, "[1]"]
     rows = feedback_records(spark.createDataFrame([(b,) for b in bodies], "body string")).collect()
     assert [(r.prediction_id, r.true_label, r.predicted_label, r.source) for r in rows] == [
         ("abc-123", "1", "0", "test"), ("unknown", None, None, "api"), ("unknown", None, None, "api")
