@@ -228,3 +228,12 @@ def test_file_ingest(spark, tmp_path):
     (tmp_path / "in" / "t.csv").write_text("id,b\n7,2.5\n8,1.0\n")
     assert ingest_files(spark, str(tmp_path / "in"), str(tmp_path / "raw")) == 2
     assert load_raw_records(spark, str(tmp_path / "raw")).count() == 2
+
+
+def test_only_folders_below_the_root_are_excluded(spark, tmp_path):
+    from sluiceway.sources.files import load_raw
+
+    root = tmp_path / "feedback" / "raw zone"
+    spark.createDataFrame([(1,), (2,)], "id long").write.parquet(str(root / "a"))
+    spark.createDataFrame([(3,)], "id long").write.parquet(str(root / "feedback"))
+    assert sorted(r.id for r in load_raw(spark, str(root)).collect()) == [1, 2]
