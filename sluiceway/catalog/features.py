@@ -53,8 +53,7 @@ def exact_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and mean words of each split of the documents."""
     documents = with_split(add_text_features(table(spark, sf_dir, "documents")), id_col="doc_id")
-    words_per = documents.groupBy("split").agg(F.round(F.avg("word_count"), 6).alias("mean_words"))
-    return split_counts(documents).join(words_per, "split")
+    return split_counts(documents, also=[F.round(F.avg("word_count"), 6).alias("mean_words")])
 
 
 def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

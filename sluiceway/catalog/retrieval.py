@@ -12,7 +12,7 @@ from sluiceway.operators.requests import (
     explode_inputs,
     feedback_records,
 )
-from sluiceway.operators.retrieval import append_vectors, hash_embedding, nearest, with_passages
+from sluiceway.operators.retrieval import append_vectors, hash_embedding, nearest, searchable, with_passages
 from sluiceway.operators.sinks import append_feedback
 from sluiceway.plans.question_answering import prompts_for
 from sluiceway.schemas import FEEDBACK_RECORD
@@ -21,10 +21,10 @@ from sluiceway.sources.files import feedback_count
 
 
 def topk_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every vector asks for its five nearest, with the text length of the passage found."""
+    """Every vector asks for its five nearest of those with a passage, with the text length of the passage found."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    hits = nearest(vectors.withColumnRenamed("vec_id", "query_id"), vectors)
     passages = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+    hits = nearest(vectors.withColumnRenamed("vec_id", "query_id"), searchable(vectors, passages))
     return with_passages(hits, passages).select(
         "query_id", "rank", "vec_id", rounded("distance"), rounded("score"), F.length("text").alias("passage_chars")
     )
@@ -144,7 +144,9 @@ _TOP = """
     unit AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x:
                     x / greatest(sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])), 1e-12)) AS e FROM embeddings),
     near AS (SELECT q.vec_id AS query_id, c.vec_id, pow(list_distance(q.e, c.e), 2) AS d FROM unit q, unit c),
-    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d, vec_id) AS rank FROM near)"""
+    -- only vectors with a passage are searched
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d, vec_id) AS rank
+               FROM near WHERE vec_id IN (SELECT doc_id FROM documents))"""
 
 ORACLES = {
     "topk_retrieval": f"""
@@ -154,9 +156,7 @@ ORACLES = {
         FROM ranked JOIN documents ON doc_id = vec_id WHERE rank <= 5""",
     "rag_prompt": f"""
         WITH {_TOP},
-        -- hits without a passage are dropped and the others numbered from 1
-        held AS (SELECT query_id, text, row_number() OVER (PARTITION BY query_id ORDER BY rank) AS place
-                 FROM ranked JOIN documents ON doc_id = vec_id WHERE rank <= 3),
+        held AS (SELECT query_id, text, rank AS place FROM ranked JOIN documents ON doc_id = vec_id WHERE rank <= 3),
         found AS (SELECT query_id, string_agg('[' || place || '] ' || text, chr(10) || chr(10) ORDER BY place) AS context
                   FROM held GROUP BY query_id)
         SELECT query_id, 'Context:' || chr(10) || context || chr(10) || chr(10) || 'Question: ' || text || chr(10) || 'Answer:' AS prompt

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from sluiceway.functions.columns import quoted
 
@@ -54,15 +56,46 @@ def _all_missing(schema: T.StructType) -> Column:
 
 
 def infer_payload_schema(df: DataFrame, payload: str = "payload") -> T.StructType:
-    """Schema that covers every JSON object in the column, merged by a distributed aggregate."""
+    """Schema that covers every JSON object in the column, merged by a distributed aggregate.
+
+    Keys are told apart by case. Keys of one object that differ only in case raise: as columns one of
+    them would take the other's values.
+    """
     is_object = quoted(payload).rlike(r"^\s*\{")
     parsed = F.try_parse_json(F.when(is_object, quoted(payload)))
-    found = df.agg(F.schema_of_variant_agg(parsed).alias("s")).first().s or ""
+    with case_sensitive(df.sparkSession):
+        found = df.agg(F.schema_of_variant_agg(parsed).alias("s")).first().s or ""
     # Fixed form: the aggregate spells structs OBJECT<...>; field names may be quoted by back-ticks.
     ddl = re.sub(r"`(?:[^`]|``)*`|OBJECT<", lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], found)
     if not ddl.startswith("STRUCT<"):
         return T.StructType([])
-    return _plain(T.DataType.fromDDL(ddl))
+    schema = _plain(T.DataType.fromDDL(ddl))
+    _refuse_case_clash(schema, "")
+    return schema
+
+
+@contextmanager
+def case_sensitive(spark: SparkSession):
+    """The session with case-sensitive names; the setting before is restored."""
+    before = spark.conf.get("spark.sql.caseSensitive")
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", before)
+
+
+def _refuse_case_clash(kind: T.DataType, path: str) -> None:
+    if isinstance(kind, T.ArrayType):
+        _refuse_case_clash(kind.elementType, path)
+    if isinstance(kind, T.StructType):
+        names = [f.name for f in kind.fields]
+        folded = Counter(n.lower() for n in names)
+        clash = sorted(path + n for n in names if folded[n.lower()] > 1)
+        if clash:
+            raise ValueError(f"payload keys {clash} differ only in case; rename them or give a schema")
+        for f in kind.fields:
+            _refuse_case_clash(f.dataType, f"{path}{f.name}.")
 
 
 def _plain(kind: T.DataType) -> T.DataType:

@@ -25,6 +25,12 @@ TEST_P_VALUE = 0.05
 TEST_DRIFT_SHARE = 0.5
 
 KS_BINS = 256
+# Text columns with more categories than this share of their reference rows are ids or free text.
+CATEGORY_SHARE = 0.5
+
+_PSI_BINS = "r int, column string, status string, ref_rows bigint, cur_rows bigint, bin int, n_ref bigint, n_cur bigint"
+_KS = "column string, ref_rows bigint, cur_rows bigint, ks double"
+_CHI2 = "column string, categories bigint, ref_share double, chi2 double"
 
 
 def shared_numeric_columns(reference: DataFrame, current: DataFrame) -> list[str]:
@@ -68,9 +74,11 @@ def psi_bins(reference: DataFrame, current: DataFrame, columns: list[str] | None
 
     Equal-width bins over the reference range, closed on the right; the outer bins take everything
     beyond. All columns in one pass, at most buckets x columns counters per task. Every bin of a
-    usable column is listed, empty or not.
+    usable column is listed, empty or not. Without columns to compare there are no rows.
     """
     columns = shared_numeric_columns(reference, current) if columns is None else columns
+    if not columns:
+        return reference.sparkSession.createDataFrame([], _PSI_BINS)
     both = _both(reference, current, columns)
     fitted = _psi_ranges(both, columns)
     usable = [f for f in fitted if f[1] == "ok"]
@@ -182,6 +190,8 @@ def ks_statistics(reference: DataFrame, current: DataFrame, columns: list[str] |
     by bin on top of the counts before the bin.
     """
     columns = shared_numeric_columns(reference, current) if columns is None else columns
+    if not columns:
+        return reference.sparkSession.createDataFrame([], _KS)
     both = _both(reference, current, columns).select(
         "is_ref", *[finite_double(c).alias(f"v{i}") for i, c in enumerate(columns)]
     )
@@ -274,24 +284,28 @@ def ks_tests(reference: DataFrame, current: DataFrame, columns: list[str] | None
 
 
 def chi2_statistics(reference: DataFrame, current: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Chi-square statistic of current category counts against reference shares: column, categories, chi2.
+    """Chi-square statistic of current category counts against reference shares.
 
-    Categories are counted map-side; a category the reference lacks makes the statistic infinite.
+    column, categories, ref_share (reference categories per reference row), chi2. Categories are counted
+    map-side, once: the counts are stored. A category the reference lacks makes the statistic infinite.
     Missing categories are left out, as in the numeric test.
     """
     if columns is None:
         columns = [
             f.name for f in reference.schema.fields if isinstance(f.dataType, T.StringType) and f.name in current.columns
         ]
+    if not columns:
+        return reference.sparkSession.createDataFrame([], _CHI2)
     both = _both(reference, current, columns)
     cells = F.array(
         *[F.struct(F.lit(c).alias("column"), quoted(c).cast("string").alias("value")) for c in columns]
     )
-    counts = (
+    counts = to_scratch_table(
         both.select("is_ref", F.explode(cells).alias("c"))
         .where("c.value is not null")
         .groupBy("c.column", "c.value")
-        .agg(F.count_if(F.col("is_ref")).alias("n_ref"), F.count_if(~F.col("is_ref")).alias("n_cur"))
+        .agg(F.count_if(F.col("is_ref")).alias("n_ref"), F.count_if(~F.col("is_ref")).alias("n_cur")),
+        "categories",
     )
     # One row per compared column.
     totals = counts.groupBy("column").agg(F.sum("n_ref").alias("ref_rows"), F.sum("n_cur").alias("cur_rows"))
@@ -302,7 +316,11 @@ def chi2_statistics(reference: DataFrame, current: DataFrame, columns: list[str]
     return (
         counts.join(F.broadcast(totals.where("ref_rows > 0 and cur_rows > 0")), "column")
         .groupBy("column")
-        .agg(F.count(F.lit(1)).alias("categories"), F.sum(cell).alias("chi2"))
+        .agg(
+            F.count(F.lit(1)).alias("categories"),
+            (F.count_if(F.col("n_ref") > 0) / F.sum("n_ref")).alias("ref_share"),
+            F.sum(cell).alias("chi2"),
+        )
     )
 
 
@@ -313,22 +331,53 @@ def chi2_p_value(statistic: pd.Series, freedom: pd.Series) -> pd.Series:
 
 
 def _chi2_tail(x: float, freedom: int) -> float:
-    """Tail by its recurrence in steps of two degrees of freedom, from erfc (odd) or exp (even)."""
+    """Upper incomplete gamma function: its power series below the mean, its continued fraction above.
+
+    Either converges in a number of steps that grows with the root of the degrees of freedom.
+    """
     if freedom <= 0 or x <= 0:
         return 1.0
     if math.isinf(x):
         return 0.0
-    half = x / 2
-    tail, step = (math.erfc(math.sqrt(half)), 0.5) if freedom % 2 else (math.exp(-half), 1.0)
-    while step < freedom / 2:
-        tail += math.exp(step * math.log(half) - half - math.lgamma(step + 1))
-        step += 1
-    return min(1.0, tail)
-
+    shape, half = freedom / 2, x / 2
+    front = math.exp(shape * math.log(half) - half - math.lgamma(shape))
+    if half < shape + 1:
+        term = total = 1 / shape
+        n = shape
+        while term > total * 1e-17:
+            n += 1
+            term *= half / n
+            total += term
+        return min(1.0, max(0.0, 1 - front * total))
+    # Convergents p/q of 1/(h+1-s - 1(1-s)/(h+3-s - 2(2-s)/(h+5-s - ...))), kept as their ratio steps.
+    b = half + 1 - shape
+    value, numerator, denominator = 1 / b, math.inf, 1 / b
+    n = 0
+    while True:
+        n += 1
+        a = n * (shape - n)
+        b += 2
+        denominator = 1 / (b + a * denominator)
+        numerator = b + a / numerator
+        step = numerator * denominator
+        value *= step
+        if abs(step - 1) < 1e-15:
+            return min(1.0, max(0.0, front * value))
+
+
+def chi2_tests(
+    reference: DataFrame,
+    current: DataFrame,
+    columns: list[str] | None = None,
+    p_limit: float = TEST_P_VALUE,
+    most_share: float | None = None,
+) -> DataFrame:
+    """column, test, statistic, p_value, drift_detected for the text columns.
 
-def chi2_tests(reference: DataFrame, current: DataFrame, columns: list[str] | None = None, p_limit: float = TEST_P_VALUE) -> DataFrame:
-    """column, test, statistic, p_value, drift_detected for the text columns."""
-    scored = chi2_statistics(reference, current, columns).withColumn(
+    With `most_share`, only columns with at most so many categories per reference row.
+    """
+    found = chi2_statistics(reference, current, columns)
+    scored = (found if most_share is None else found.where(F.col("ref_share") <= most_share)).withColumn(
         "p_value", chi2_p_value(F.col("chi2"), F.col("categories") - 1)
     )
     return scored.select(
@@ -358,11 +407,15 @@ def report_from_tests(tests: DataFrame, drift_share: float = TEST_DRIFT_SHARE) -
 
 
 def check_drift(reference: DataFrame, current: DataFrame, method: str = "tests", **psi_options) -> DataFrame:
-    """Drift report by two-sample tests, or by the stability index when asked or when no column can be tested."""
+    """Drift report by two-sample tests, or by the stability index when asked or when no column can be tested.
+
+    Text columns of ids or free text (CATEGORY_SHARE) are left out: new values are no drift there. Name
+    such columns in `chi2_tests` to test them all the same. Without comparable columns nothing drifts.
+    """
     if method == "tests":
         numeric = shared_numeric_columns(reference, current)
         text = [f.name for f in reference.schema.fields if isinstance(f.dataType, T.StringType) and f.name in current.columns]
-        parts = ([ks_tests(reference, current, numeric)] if numeric else []) + ([chi2_tests(reference, current, text)] if text else [])
+        parts = ([ks_tests(reference, current, numeric)] if numeric else []) + ([chi2_tests(reference, current, text, most_share=CATEGORY_SHARE)] if text else [])
         if parts:
             return report_from_tests(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]))
         warnings.warn("no column to test; using the stability index", stacklevel=2)

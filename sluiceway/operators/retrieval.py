@@ -24,9 +24,6 @@ BLOCK_ROWS = 32_768
 # Distances held at once while one block is searched.
 TILE_CELLS = 4_000_000
 
-_HITS = "query_id bigint, vec_id bigint, distance double"
-
-
 # ---- embedding ----------------------------------------------------------------------------------
 
 
@@ -95,7 +92,9 @@ def _matrix(column: pa.Array | pa.ChunkedArray, dimensions: int) -> np.ndarray:
 
 def _first_k(query: np.ndarray, vec: np.ndarray, dist: np.ndarray, k: int):
     """The k nearest rows of each query, ties by vector id."""
-    order = np.lexsort((vec, dist, query))
+    # Text ids are compared by their place in order.
+    tie = np.unique(vec, return_inverse=True)[1] if vec.dtype == object else vec
+    order = np.lexsort((tie, dist, query))
     query, vec, dist = query[order], vec[order], dist[order]
     place = np.arange(len(query)) - np.searchsorted(query, query)
     return query[place < k], vec[place < k], dist[place < k]
@@ -127,6 +126,21 @@ def _nearest(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int):
     return tuple(np.concatenate(part) for part in zip(*found))
 
 
+def _ids(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False) if isinstance(column, pa.Array) else column.to_numpy()
+
+
+def _hit_schema(queries: DataFrame, corpus: DataFrame) -> T.StructType:
+    """Hits keep the ids' own types."""
+    return T.StructType(
+        [
+            T.StructField("query_id", queries.schema["query_id"].dataType),
+            T.StructField("vec_id", corpus.schema["vec_id"].dataType),
+            T.StructField("distance", T.DoubleType()),
+        ]
+    )
+
+
 def _hit_batch(query_ids: np.ndarray, query: np.ndarray, vec: np.ndarray, dist: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(query_ids[query]), pa.array(vec), pa.array(dist)], names=["query_id", "vec_id", "distance"]
@@ -143,16 +157,18 @@ def nearest(
     """query_id, rank (from 1), vec_id, distance, score of the `top_k` nearest vectors, exhaustively.
 
     Vectors are normalised, distance is squared L2, ties go to the smaller vec_id; a corpus smaller
-    than `top_k` gives fewer rows. `query_id` and `vec_id` identify their rows. Each task keeps just
+    than `top_k` gives fewer rows. `query_id` and `vec_id`, integers or texts, identify their rows. Each task keeps just
     the k best per query it has seen, no pair of vectors becomes a row, and the last rank limit is
     again applied before its shuffle. Query vectors are measured first: a small batch goes to
     every task, a large one is cut into blocks that meet the blocks of the corpus.
     """
-    q = queries.where("embedding is not null").select(F.col("query_id").cast("bigint"), "embedding")
-    c = corpus.where("embedding is not null").select(F.col("vec_id").cast("bigint"), "embedding")
+    q = queries.where("embedding is not null").select("query_id", "embedding")
+    c = corpus.where("embedding is not null").select("vec_id", "embedding")
     count, shortest, longest = q.agg(F.count(F.lit(1)), F.min(F.size("embedding")), F.max(F.size("embedding"))).first()
     if not count:
-        return q.sparkSession.createDataFrame([], f"query_id bigint, rank int, vec_id bigint, distance double, score double")
+        ids = [T.StructField(n, df.schema[n].dataType) for n, df in (("query_id", q), ("vec_id", c))]
+        numbers = [T.StructField("distance", T.DoubleType()), T.StructField("score", T.DoubleType())]
+        return q.sparkSession.createDataFrame([], T.StructType([ids[0], T.StructField("rank", T.IntegerType()), ids[1], *numbers]))
     if shortest != longest:
         raise ValueError("query vectors differ in length")
     fits = F.when(F.size("embedding") == longest, F.col("embedding")).otherwise(
@@ -174,7 +190,7 @@ def nearest(
 def _search_broadcast(queries: DataFrame, corpus: DataFrame, k: int, dimensions: int) -> DataFrame:
     table = queries.toArrow()
     shared = queries.sparkSession.sparkContext.broadcast(
-        (np.asarray(table["query_id"]), _matrix(table["embedding"], dimensions))
+        (_ids(table["query_id"]), _matrix(table["embedding"], dimensions))
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,12 +199,12 @@ def _search_broadcast(queries: DataFrame, corpus: DataFrame, k: int, dimensions:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            part = _nearest(vectors, _matrix(batch.column("embedding"), dimensions), np.asarray(batch.column("vec_id")), k)
+            part = _nearest(vectors, _matrix(batch.column("embedding"), dimensions), _ids(batch.column("vec_id")), k)
             best = part if best is None else _first_k(*(np.concatenate(p) for p in zip(best, part)), k)
         if best is not None:
             yield _hit_batch(query_ids, *best)
 
-    return corpus.mapInArrow(search, _HITS)
+    return corpus.mapInArrow(search, _hit_schema(queries, corpus))
 
 
 def _search_blocks(queries: DataFrame, corpus: DataFrame, k: int, dimensions: int, count: int, block_rows: int) -> DataFrame:
@@ -207,23 +223,28 @@ def _search_blocks(queries: DataFrame, corpus: DataFrame, k: int, dimensions: in
 
     def search(a: pa.Table, b: pa.Table) -> pa.Table:
         if a.num_rows == 0 or b.num_rows == 0:
-            empty = np.array([], dtype=np.int64)
-            return pa.Table.from_batches([_hit_batch(empty, empty, empty, np.array([], dtype=np.float64))])
+            none = {"query_id": a["query_id"].slice(0, 0), "vec_id": b["vec_id"].slice(0, 0), "distance": pa.array([], pa.float64())}
+            return pa.table(none)
         hits = _nearest(
-            _matrix(a["embedding"], dimensions), _matrix(b["embedding"], dimensions), np.asarray(b["vec_id"]), k
+            _matrix(a["embedding"], dimensions), _matrix(b["embedding"], dimensions), _ids(b["vec_id"]), k
         )
-        return pa.Table.from_batches([_hit_batch(np.asarray(a["query_id"]), *hits)])
+        return pa.Table.from_batches([_hit_batch(_ids(a["query_id"]), *hits)])
 
-    return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(search, _HITS)
+    return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(search, _hit_schema(queries, corpus))
 
 
 # ---- passages and prompts -----------------------------------------------------------------------
 
 
+def searchable(corpus: DataFrame, passages: DataFrame) -> DataFrame:
+    """The vectors that have a passage. Search these, so that no hit is spent on a vector without one."""
+    return corpus.join(passages.select("vec_id"), "vec_id", "left_semi")
+
+
 def with_passages(hits: DataFrame, passages: DataFrame) -> DataFrame:
     """Hits with the text and metadata of their vectors; `passages` has vec_id, text and maybe metadata.
 
-    An equi-join that drops hits without a passage. A passage wanted by very many queries is a hot
+    An equi-join that drops hits without a passage; see `searchable`. A passage wanted by very many queries is a hot
     key on the hits' side, which the adaptive skew join splits.
     """
     empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -73,5 +74,6 @@ def split(df: DataFrame, **options) -> tuple[DataFrame, DataFrame, DataFrame]:
     return tuple(labelled.where(F.col(name) == part).drop(name) for part in ("train", "val", "test"))
 
 
-def split_counts(df: DataFrame, split_col: str = "split") -> DataFrame:
-    return df.groupBy(split_col).agg(F.count(F.lit(1)).alias("rows"))
+def split_counts(df: DataFrame, split_col: str = "split", also: Sequence[Column] = ()) -> DataFrame:
+    """Rows per split, and further aggregates of the same pass."""
+    return df.groupBy(split_col).agg(F.count(F.lit(1)).alias("rows"), *also)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from sluiceway.operators.requests import check_retrieval_requests
-from sluiceway.operators.retrieval import build_prompts, hash_embedding, nearest, with_passages
+from sluiceway.operators.retrieval import build_prompts, hash_embedding, nearest, searchable, with_passages
 from sluiceway.session import to_scratch_table
 
 
@@ -20,7 +20,7 @@ def prompts_for(
     """Prompts for the valid requests (query_id, query, maybe top_k, temperature, embedding).
 
     `corpus` has vec_id and embedding; its text and metadata come from `passages`, or from the corpus
-    itself. Requests without an embedding column are embedded with `embed`, hashed words by default.
+    itself; vectors without a passage are not searched. Requests without an embedding column are embedded with `embed`, hashed words by default.
     The largest top_k is searched once and each request keeps its own number of hits.
     """
     asked = check_retrieval_requests(requests).where("valid")
@@ -31,9 +31,8 @@ def prompts_for(
     most = asked.agg(F.max("top_k")).first()[0]
     if most is None:
         most = 1
-    hits = nearest(asked.select("query_id", "embedding"), corpus.select("vec_id", "embedding"), most)
+    vectors = corpus.select("vec_id", "embedding")
+    hits = nearest(asked.select("query_id", "embedding"), vectors if passages is None else searchable(vectors, passages), most)
     own = hits.join(asked.select("query_id", "top_k"), "query_id").where(F.col("rank") <= F.col("top_k")).drop("top_k")
     found = with_passages(own, corpus if passages is None else passages)
-    # Ranks without a passage are dropped, so the rest is numbered anew (at most top_k rows per query).
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("rank"))
-    return build_prompts(asked.select("query_id", "query"), found.withColumn("rank", rank))
+    return build_prompts(asked.select("query_id", "query"), found)
