@@ -27,7 +27,7 @@ from sluiceway.operators.models import (
 )
 from sluiceway.operators.profile import describe, null_profile, numeric_histogram, value_counts
 from sluiceway.operators.split import split
-from sluiceway.plans.training import aliases, evaluate_version, train_and_gate
+from sluiceway.plans.training import evaluate_version, train_and_gate
 from sluiceway.session import scratch_path
 
 GATE = {"f1": 0.51, "accuracy": 0.95}
@@ -189,8 +189,7 @@ def version_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, part in parts.items():
         part.write.parquet(f"{base}/features/split={name}")
     train_and_gate(spark, f"{base}/features", base, {"accuracy": 0.1}, dimensions=1 << 12).count()
-    champion = aliases(spark, base).where("alias = 'champion'").first().version
-    return evaluate_version(base, champion, spark.read.parquet(f"{base}/features/split=test"))
+    return evaluate_version(base, "champion", spark.read.parquet(f"{base}/features/split=test"))
 
 
 QUERIES = {

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import json
-import math
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluiceway.catalog.base import table
@@ -55,14 +52,16 @@ def land_and_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("id", "schema_version", "row.*", "landed")
 
 
+def _pages(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
+    """page, found: the customers of each page of 100 keys."""
+    item = F.struct(F.col("c_custkey").alias("id"), *fields)
+    page = F.floor(F.col("c_custkey") / PER_PAGE).alias("page")
+    return table(spark, sf_dir, "customer").groupBy(page).agg(F.collect_list(item).alias("found"))
+
+
 def page_unpack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as JSON pages of up to 100 items, under either of the two list names."""
-    item = F.struct(F.col("c_custkey").alias("id"), "c_name", "c_acctbal")
-    pages = (
-        table(spark, sf_dir, "customer")
-        .groupBy(F.floor(F.col("c_custkey") / PER_PAGE).alias("page"))
-        .agg(F.collect_list(item).alias("found"))
-    )
+    pages = _pages(spark, sf_dir, "c_name", "c_acctbal")
     body = F.when(F.col("page") % 2 == 0, F.to_json(F.struct(F.col("found").alias("items")))).otherwise(
         F.to_json(F.struct(F.col("found").alias("results")))
     )
@@ -70,28 +69,35 @@ def page_unpack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unpack_pages(pages.select("page", body.alias("body"))).select("page", row.alias("r")).select("page", "r.*")
 
 
-def _customer_page(path: str):
-    """Stands in for a paged service over the customer table."""
+def _stored_page(folder: str):
+    """Fetcher of pages that lie as text files in a folder each."""
 
     def fetch(url: str, params: dict, timeout: float) -> str:
-        import pyarrow.parquet as pq
+        from pyarrow import fs
 
-        first = (params["page"] - 1) * params["per_page"]
-        span = [("c_custkey", ">=", first), ("c_custkey", "<", first + params["per_page"])]
-        rows = pq.read_table(path, columns=["c_custkey", "c_name", "c_mktsegment"], filters=span).to_pylist()
-        return json.dumps({"items": [{"id": r.pop("c_custkey"), **r} for r in rows]})
+        store, path = fs.FileSystem.from_uri(folder)
+        found = store.get_file_info(fs.FileSelector(f"{path}/page={params['page'] - 1}", allow_not_found=True))
+        for file in found:
+            if file.is_file and not file.base_name.startswith(("_", ".")):
+                with store.open_input_stream(file.path) as stream:
+                    return stream.read().decode("utf-8")
+        return '{"items": []}'
 
     return fetch
 
 
 def paged_api_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{sf_dir}/customer.parquet"
-    last = spark.read.parquet(path).agg(F.max("c_custkey")).first()[0]
-    pages = math.ceil((last + 1) / PER_PAGE)
+    """Customers as one stored page per 100 keys; each request opens its own page alone."""
+    last = table(spark, sf_dir, "customer").agg(F.max("c_custkey")).first()[0]
+    pages = 0 if last is None else last // PER_PAGE + 1
+    folder = scratch_path(spark, "pages")
+    bodies = _pages(spark, sf_dir, "c_name", "c_mktsegment")
+    bodies = bodies.select("page", F.to_json(F.struct(F.col("found").alias("items"))).alias("body"))
+    bodies.write.partitionBy("page").text(folder)
     body = scan_pages(
         spark,
         "customers",
-        _customer_page(path),
+        _stored_page(folder),
         pages=pages,
         partitions=spark.sparkContext.defaultParallelism,
         requestsPerSecond=1e6,

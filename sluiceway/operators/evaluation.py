@@ -92,16 +92,18 @@ def passes_threshold(
     return reduce(lambda a, b: a & b, checks)
 
 
-def assign_aliases(versions: DataFrame, gate: Column, model: str = "model", version: str = "version") -> DataFrame:
-    """model, version, alias after promoting the versions in order.
+def assign_aliases(
+    versions: DataFrame, gate: Column, model: str = "model", version: str = "version", order: str | None = None
+) -> DataFrame:
+    """model, version, alias after promoting the versions in order of `order`, by default of their numbers.
 
     A passing version becomes champion and the champion before it challenger, so they are the last
     two passing versions. The rank limit is applied in every task before the shuffle.
     """
-    rank = F.row_number().over(Window.partitionBy(model).orderBy(F.desc(version)))
+    rank = F.row_number().over(Window.partitionBy(model).orderBy(F.desc(order or version)))
     return (
         versions.where(gate)
-        .select(model, version)
+        .select(*dict.fromkeys([model, version, order or version]))
         .withColumn("_rank", rank)
         .where("_rank <= 2")
         .select(model, version, F.when(F.col("_rank") == 1, CHAMPION).otherwise(CHALLENGER).alias("alias"))

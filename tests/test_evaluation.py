@@ -17,7 +17,7 @@ from sluiceway.operators.evaluation import (
     passes_threshold,
 )
 from sluiceway.operators.models import search_parameters, text_and_label
-from sluiceway.plans.training import aliases, evaluate_version, train_and_gate
+from sluiceway.plans.training import aliases, evaluate_version, promote, train_and_gate, version_of
 from sluiceway.schemas import METRIC_NAMES, MODEL_METRICS
 
 
@@ -162,10 +162,29 @@ def test_training_job_gates_and_evaluates(spark, texts, tmp_path):
     rejected = train_and_gate(spark, f"{base}/features", base, {"auc": 0.5}, dimensions=256).first()
     assert first.passed and second.passed and not rejected.passed
     assert {r.alias: r.version for r in aliases(spark, base).collect()} == {"champion": second.version, "challenger": first.version}
-    rows = {r.metric: r.value for r in evaluate_version(base, second.version, texts.where("doc_id >= 100")).collect()}
+    rows = {r.metric: r.value for r in evaluate_version(base, "champion", texts.where("doc_id >= 100")).collect()}
     assert rows["accuracy"] == 1.0 and set(rows) == {"accuracy", "f1", "precision", "recall", "loss"}
 
 
+def test_promotion_and_rollback(spark, tmp_path):
+    base = str(tmp_path)
+    runs = [("m", 1, True), ("m", 2, True), ("m", 3, False), ("other", 4, False)]
+    spark.createDataFrame(runs, "model string, version bigint, passed boolean").write.parquet(f"{base}/runs")
+
+    def held():
+        return {r.alias: r.version for r in aliases(spark, base).where("model = 'm'").collect()}
+
+    assert held() == {"champion": 2, "challenger": 1}
+    promote(spark, base, 3, "m")
+    assert held() == {"champion": 3, "challenger": 2}
+    promote(spark, base, 1, "m")
+    assert held() == {"champion": 1, "challenger": 3} and version_of(spark, base, "champion", "m") == 1
+    with pytest.raises(ValueError, match="no version 9"):
+        promote(spark, base, 9, "m")
+    with pytest.raises(ValueError, match="no champion of other"):
+        version_of(spark, base, "champion", "other")
+
+
 def test_parameter_search(spark, texts):
     trials = search_parameters(texts.where("doc_id < 80"), texts.where("doc_id >= 80"), trials=2, dimensions=256)
     rows = trials.collect()

@@ -207,6 +207,24 @@ def test_order_statistics_equal_a_sort(spark, monkeypatch, limit):
     assert (got["y", 350], got["y", 351]) == (0.0, 1.0)
 
 
+def test_order_statistics_take_few_rounds_whatever_the_spread(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "BRACKET_ROWS", 3)
+    draw = random.Random(5)
+    values = [draw.choice([-1, 1]) * 10 ** draw.uniform(-300, 300) for _ in range(400)] + [5e-324, 1e-323, 1.5e-323, 0.0, 0.0]
+    near = 1.0
+    for _ in range(50):
+        near = math.nextafter(near, 2)
+        values.append(near)
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    rounds = []
+    plain = ranking.zoom_bin
+    monkeypatch.setattr(ranking, "zoom_bin", lambda bins: rounds.append(1) or plain(bins))
+    wanted = list(range(1, len(values) + 1, 13))
+    got = exact_order_statistics(df, {"x": wanted}, column_stats(df, ["x"]))
+    assert [got["x", r] for r in wanted] == [sorted(values)[r - 1] for r in wanted]
+    assert len(rounds) <= 8
+
+
 def test_describe_matches_numpy(spark):
     values = [3.5, 1.0, 9.25, 4.0, 4.0, 7.0]
     df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "x double")

@@ -43,6 +43,13 @@ def test_flatten_payload(spark):
     assert flatten_payload(spark.range(1)).columns == ["id"]
 
 
+def test_payload_keys_that_differ_in_case_raise(spark):
+    for bodies in (['{"a":1}', '{"A":2}'], ['{"x":{"k":1,"K":2}}'], ['{"x":[{"k":1},{"K":2}]}']):
+        with pytest.raises(ValueError, match="differ only in case"):
+            flatten_payload(spark.createDataFrame([(b,) for b in bodies], "payload string"))
+    assert spark.conf.get("spark.sql.caseSensitive") == "false"
+
+
 def test_scan_batch_reads_both_formats_recursively(spark, tmp_path):
     spark.createDataFrame([(1, "x"), (None, "y")], "id int, a string").write.parquet(str(tmp_path / "in" / "deep" / "p"))
     (tmp_path / "in" / "t.csv").write_text("id,b\n7,2.5\n")

@@ -279,3 +279,24 @@ def test_monitoring_run(spark, tmp_path):
     assert found["snapshot"].first().alerts == ["p99 latency 500.0ms exceeds threshold 200ms"]
     assert spark.read.json(str(tmp_path / "reports")).first().drifted_columns == ["x"]
     assert spark.read.json(str(tmp_path / "triggers")).first().reason == "Dataset drift detected (score=1.000)"
+
+
+def test_drift_without_comparable_columns_and_of_ids(spark):
+    ref = spark.createDataFrame([(f"r{i}", "ab"[i % 2]) for i in range(40)], "id string, c string")
+    cur = spark.createDataFrame([(f"c{i}", "ab"[i % 2]) for i in range(40)], "id string, c string")
+    row = check_drift(ref, cur).first()
+    assert (row.dataset_drift, row.drifted_columns, set(row.details)) == (False, [], {"c"})
+    other = cur.toDF("x", "y")
+    for method in ("psi", "tests"):
+        row = check_drift(ref, other, method).first()
+        assert (row.dataset_drift, row.drift_score, row.drifted_columns, row.details) == (False, 0.0, [], {})
+    assert ks_statistics(ref, other).count() == 0 and chi2_statistics(ref, other).count() == 0
+
+
+@pytest.mark.parametrize("x, freedom, tail", [(3.841458820694124, 1, 0.05), (5.991464547107979, 2, 0.05), (18.307038053275146, 10, 0.05), (1.145476226061769, 5, 0.95), (124.34211340400407, 100, 0.05)])
+def test_chi2_tail(x, freedom, tail):
+    assert drift._chi2_tail(x, freedom) == pytest.approx(tail, abs=1e-10)
+
+
+def test_chi2_tail_of_many_categories():
+    assert drift._chi2_tail(1e8, 10**8) == pytest.approx(0.5, abs=1e-4)

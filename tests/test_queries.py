@@ -6,10 +6,6 @@ import pytest
 
 import __spark_entry__ as contract
 
-# Jobs that drain streams or train models; their parts are tested elsewhere and the whole by the comparison tool.
-SLOW = {"stream_ingest", "stream_quarantine", "stream_status_counts", "stream_rolling_latency", "stream_feedback",
-        "train_text_classifier", "train_text_regressor", "hpo_search", "evaluate_version", "batch_scoring"}
-
 
 def key(row):
     return tuple((v is None, str(type(v)), v if v is not None else 0) for v in row)
@@ -27,7 +23,7 @@ def test_every_sql_has_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
 def test_query_equals_its_sql(spark, data, db, name):
     df = contract.queries()[name](spark, data)
     columns = sorted(df.columns)

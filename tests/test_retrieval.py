@@ -20,6 +20,7 @@ from sluiceway.operators.retrieval import (
     embed_with,
     hash_embedding,
     nearest,
+    searchable,
     with_passages,
 )
 from sluiceway.plans.question_answering import prompts_for
@@ -57,6 +58,18 @@ def test_search_equals_brute_force_with_many_copies(spark, blocks):
     assert all(r.distance == pytest.approx(d[r.query_id, r.vec_id], abs=1e-9) for r in hits)
 
 
+@pytest.mark.parametrize("blocks", [False, True])
+def test_text_ids_and_vectors_without_a_passage(spark, blocks):
+    corpus = spark.createDataFrame([("b", [1.0, 0.0]), ("a", [1.0, 0.0]), ("c", [1.0, 0.1]), ("d", [0.0, 1.0])], "vec_id string, embedding array<float>")
+    asked = spark.createDataFrame([("q1", [2.0, 0.0]), ("q2", [0.0, 3.0])], "query_id string, embedding array<float>")
+    options = {"broadcast_bytes": 0, "block_rows": 1} if blocks else {}
+    hits = nearest(asked, corpus.repartition(3), 2, **options).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in hits) == [("q1", 1, "a"), ("q1", 2, "b"), ("q2", 1, "d"), ("q2", 2, "c")]
+    passages = spark.createDataFrame([("b", "t"), ("d", "u")], "vec_id string, text string")
+    found = with_passages(nearest(asked, searchable(corpus, passages), 2, **options), passages)
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in found.collect()) == [("q1", 1, "b"), ("q1", 2, "d"), ("q2", 1, "d"), ("q2", 2, "b")]
+
+
 def test_search_edge_inputs(spark):
     corpus = vectors(spark, np.eye(2))
     assert nearest(vectors(spark, [[1, 0]], "query_id").where("query_id < 0"), corpus).count() == 0
