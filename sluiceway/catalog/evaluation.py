@@ -25,7 +25,7 @@ from sluiceway.operators.models import (
     train_text_classifier,
     train_text_regressor,
 )
-from sluiceway.operators.profile import describe, null_profile, numeric_histogram, value_counts
+from sluiceway.operators.profile import describe, null_profile, numeric_histogram, preview, value_counts
 from sluiceway.operators.split import split
 from sluiceway.plans.training import evaluate_version, train_and_gate
 from sluiceway.session import scratch_path
@@ -150,6 +150,12 @@ def table_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.agg(F.count(F.lit(1)).alias("rows")).select("rows", F.lit(len(orders.columns)).alias("columns"))
 
 
+def preview_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five orders, with the shape of the table."""
+    (rows, columns), first = preview(table(spark, sf_dir, "orders").orderBy("o_orderkey"))
+    return first.select("o_orderkey", "o_totalprice", F.lit(rows).cast("bigint").alias("rows"), F.lit(columns).alias("columns"))
+
+
 # ---- models -------------------------------------------------------------------------------------
 
 
@@ -208,6 +214,7 @@ QUERIES = {
     "numeric_histogram": histogram,
     "describe": summary,
     "table_shape": table_shape,
+    "preview": preview_orders,
     "train_text_classifier": text_classifier,
     "batch_scoring": batch_scoring,
     "train_text_regressor": text_regressor,
@@ -300,4 +307,7 @@ ORACLES = {
                round(max(v), 4) AS max
         FROM long GROUP BY col""",
     "table_shape": """SELECT count(*) AS "rows", 6 AS columns FROM orders""",
+    "preview": """
+        SELECT o_orderkey, o_totalprice, (SELECT count(*) FROM orders) AS "rows", 6 AS columns
+        FROM orders ORDER BY o_orderkey LIMIT 5""",
 }

@@ -14,9 +14,10 @@ from sluiceway.operators.service_metrics import (
     service_snapshot,
     status_counts,
 )
+from sluiceway.operators.sinks import append_retrain_trigger, save_report
 from sluiceway.plans.monitoring import alert_rows
 from sluiceway.schemas import RAW_RECORD
-from sluiceway.session import scratch_path
+from sluiceway.session import scratch_path, to_scratch_table
 from sluiceway.streaming.counters import count_statuses, keep_last_rows, latest_counts, rolling_snapshot
 from sluiceway.streaming.ingest import land_feedback, land_messages
 
@@ -59,6 +60,24 @@ def retrain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrain_decision(report, table(spark, sf_dir, "labels").agg(F.count(F.lit(1))).scalar(), min_feedback=300)
 
 
+def saved_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The drift report, appended to the reports and read back."""
+    path = scratch_path(spark, "reports")
+    save_report(drift_report(psi_scores(*_lines(spark, sf_dir), MEASURES), threshold=0.0001), path)
+    stored = spark.read.schema("dataset_drift boolean, drift_score double, drifted_columns array<string>").json(path)
+    return stored.select("dataset_drift", rounded("drift_score"), F.array_join("drifted_columns", ",").alias("drifted"))
+
+
+def retrain_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Triggers recorded for two decisions, of which the second asks for more feedback than there is."""
+    path = scratch_path(spark, "triggers")
+    report = to_scratch_table(drift_report(psi_scores(*_lines(spark, sf_dir), MEASURES)), "report")
+    rows = table(spark, sf_dir, "labels").agg(F.count(F.lit(1)))
+    for least in (1, 1 << 60):
+        append_retrain_trigger(retrain_decision(report, rows.scalar(), min_feedback=least), path)
+    return spark.read.schema("timestamp timestamp, reason string").json(path).select("reason")
+
+
 def _figures(df: DataFrame, *keys: str) -> DataFrame:
     totals = [c for c in df.columns if c in ("total_requests", "total_errors")]
     rates = [c for c in df.columns if c in ("uptime_seconds", "error_rate", "throughput_rps")]
@@ -172,6 +191,8 @@ QUERIES = {
     "ks_drift": ks_drift,
     "chi2_drift": chi2_drift,
     "retrain_decision": retrain,
+    "saved_report": saved_report,
+    "retrain_trigger": retrain_trigger,
     "latency_snapshot": latency_snapshot,
     "latency_snapshot_by_service": latency_snapshot_by_service,
     "latency_alerts": latency_alerts,
@@ -318,3 +339,12 @@ ORACLES = {
     "stream_feedback": """
         SELECT event_type AS true_label, 'api' AS source, count(*) AS feedback_rows FROM events GROUP BY 1""",
 }
+
+ORACLES["saved_report"] = ORACLES["psi_dataset"]
+ORACLES["retrain_trigger"] = f"""
+        WITH {_PSI},
+        report AS (SELECT avg(CASE WHEN psi > 0.2 THEN 1.0 ELSE 0.0 END) AS score FROM psi),
+        seen AS (SELECT score, score > 0.3 AS flag, (SELECT count(*) FROM labels) AS f FROM report)
+        SELECT CASE WHEN flag AND score >= 0.25 THEN printf('Dataset drift detected (score=%.3f)', score)
+                    ELSE printf('Feedback threshold reached (%d samples)', f) END AS reason
+        FROM seen, range(2) t(attempt) WHERE (flag AND score >= 0.25) OR (f >= 1 AND attempt = 0)"""
