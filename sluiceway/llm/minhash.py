@@ -121,19 +121,26 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, similarity: int) -> D
     return joined.mapInArrow(compared, "a binary, b binary")
 
 
+def _state(stars: DataFrame) -> tuple:
+    return tuple(stars.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(node, least node of its component) for nodes with links, from (a, b) pairs."""
-    stars = to_scratch_table(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
-    before = None
+    """(node, least node of its component) for nodes with links, from (a, b) pairs.
+
+    The result is a fixed point of the steps: given again as links, with new ones, it is only worked on where those join.
+    """
+    stars = to_scratch_table(links.toDF("a", "b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
+    before = _state(stars)
     while True:
-        both = stars.union(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        # Both ends of a link carry it; the least end known to a node is its neighbours' next link. Copies go once, at the end.
+        both = stars.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.*")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = stars.select(F.col("v").alias("u"), F.col("u").alias("v")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(least, "u")
-        small = moved.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-        stars = to_scratch_table(small.where("u <> v").distinct(), "stars")
-        state = stars.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
+        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
+        stars = to_scratch_table(small.select("e.*").where("u <> v").distinct(), "stars")
+        state = _state(stars)
         if state == before:
             return stars.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = state
@@ -195,8 +202,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similarity: int = SIMILAR
     pairs = shared.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     for x in ("a", "b"):
         pairs = pairs.join(about.select(F.col("node").alias(x), F.col("lanes").alias(f"lanes_{x}")), x)
-    links = to_scratch_table(_confirmed(pairs.where(estimate("lanes_a", "lanes_b") >= far), texts, k, similarity), "confirmed")
-    roots = components(links)
+    roots = components(_confirmed(pairs.where(estimate("lanes_a", "lanes_b") >= far), texts, k, similarity))
 
     # What shares a key and isn't in one component yet.
     left = to_scratch_table(_bounded(_apart(shared.drop("hub"), roots).join(about, "node"), texts, k).where(100 * F.col("cap") >= similarity * F.col("size")), "apart")
@@ -205,8 +211,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similarity: int = SIMILAR
     met = one.select(*[F.col(c).alias(f"{c}_a") for c in ("node", "lanes", "size", "cap")], *[F.col(f"hub.{c}").alias(f"{c}_b") for c in ("node", "lanes", "size", "cap")])
     near = (estimate("lanes_a", "lanes_b") >= far) & _reachable("size_a", "size_b", similarity)
     met = met.where(near).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-    links = to_scratch_table(links.union(_confirmed(met, texts, k, similarity)), "confirmed")
-    roots = components(links)
+    roots = components(roots.union(_confirmed(met, texts, k, similarity)))
 
     left = to_scratch_table(_apart(left.drop("root"), roots), "apart")
     # Every member outside a key's largest component meets the members of the others, each pair under its first key.
@@ -220,8 +225,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similarity: int = SIMILAR
         side(left, "b").withColumnRenamed("key", "key_b"), (F.col("key") == F.col("key_b")) & once & near & (first_key == F.col("key"))
     )
     more = more.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    links = links.union(_confirmed(more, texts, k, similarity))
-    roots = components(links)
+    roots = components(roots.union(_confirmed(more, texts, k, similarity)))
 
     named = nodes.select("node", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
