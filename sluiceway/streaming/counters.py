@@ -1,26 +1,44 @@
-"""Running counters and rolling latency state over request streams."""
+"""Running counters and rolling latency state over request streams.
+
+A state is a small table that each micro-batch replaces. Two versions are kept in turn, so what is stored
+doesn't grow with the number of batches, and a batch that is repeated after a failure starts from the same
+version as before.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from sluiceway.operators.ranking import first_per_group
 from sluiceway.operators.service_metrics import WINDOW, window_figures, status_counts
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-SALTS = 16
+
+def _versions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of both versions with their `batch` and `slot`; none before the first batch."""
+    stored = T.StructType([*schema.fields, T.StructField("batch", T.LongType()), T.StructField("slot", T.IntegerType())])
+    try:
+        return spark.read.schema(stored).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], stored)
 
 
-def _write_batches(stream: DataFrame, path: str, checkpoint: str, mode: str) -> StreamingQuery:
-    """Each micro-batch in a folder of its own; a repeated batch replaces its folder."""
+def _replace_by_batch(
+    stream: DataFrame, path: str, checkpoint: str, mode: str, merged: Callable[[DataFrame, DataFrame], DataFrame]
+) -> StreamingQuery:
+    """After each micro-batch the state is `merged(batch, state before)`."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        versions = _versions(batch.sparkSession, path, batch.schema).where(F.col("batch") < batch_id)
+        last = versions.agg(F.max(F.struct("batch", "slot")).alias("v")).first().v
+        held = versions.where(F.col("batch") == last.batch if last else F.lit(False)).drop("batch", "slot")
+        slot = 1 - last.slot if last else 0
+        merged(batch, held).withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{path}/slot={slot}")
 
     return (
         stream.writeStream.outputMode(mode)
@@ -31,90 +49,43 @@ def _write_batches(stream: DataFrame, path: str, checkpoint: str, mode: str) ->
     )
 
 
-def count_statuses(log: DataFrame, path: str, checkpoint: str, status: str = "status") -> StreamingQuery:
-    """Requests per status since the start of the stream; every batch writes the totals so far."""
-    return _write_batches(status_counts(log, status), path, checkpoint, "complete")
-
-
-def latest_counts(spark: SparkSession, path: str) -> DataFrame:
+def _newest(spark: SparkSession, path: str) -> DataFrame:
     written = spark.read.parquet(path)
-    return written.where(F.col("batch") == written.agg(F.max("batch")).scalar()).drop("batch")
-
-
-class LastRows(StatefulProcessor):
-    """Keeps the last rows of a key in (ts, seq) order and emits them when they change."""
+    return written.where(F.col("batch") == written.agg(F.max("batch")).scalar()).drop("batch", "slot")
 
-    def __init__(self, size: int) -> None:
-        self.size = size
 
-    def init(self, handle) -> None:
-        self.rows = handle.getListState("rows", "ts timestamp, seq bigint, latency double")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        columns = ["ts", "seq", "latency"]
-        kept = pd.DataFrame(list(self.rows.get()), columns=columns)
-        for batch in rows:
-            new = batch[columns]
-            kept = new if kept.empty else pd.concat([kept, new])
-            kept = kept.sort_values(["ts", "seq"]).tail(self.size)
-        self.rows.put([(t.to_pydatetime(), int(s), float(v)) for t, s, v in kept.itertuples(index=False)])
-        out = kept.copy()
-        out.insert(0, "salt", key[1])
-        out.insert(0, "service", key[0])
-        yield out
+def count_statuses(log: DataFrame, path: str, checkpoint: str, status: str = "status") -> StreamingQuery:
+    """Requests per status since the start of the stream; every batch writes the totals so far."""
+    return _replace_by_batch(status_counts(log, status), path, checkpoint, "complete", lambda totals, before: totals)
 
-    def close(self) -> None:
-        pass
 
+def latest_counts(spark: SparkSession, path: str) -> DataFrame:
+    return _newest(spark, path)
 
-@contextmanager
-def rocksdb_state(spark: SparkSession):
-    """The state store that stateful processors need, for queries started inside."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, ROCKSDB)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
 
+def keep_last_rows(log: DataFrame, path: str, checkpoint: str, window: int = WINDOW) -> StreamingQuery:
+    """Keep the last `window` latencies per service in (ts, seq) order; `log` has service, ts, seq, latency_ms.
 
-def keep_last_rows(
-    log: DataFrame, path: str, checkpoint: str, window: int = WINDOW, salts: int = SALTS
-) -> StreamingQuery:
-    """Keep the last `window` latencies per service; `log` has service, ts, seq, latency_ms.
-
-    State is keyed by service and a salt of the row, so a hot service is spread over `salts` states;
-    the last rows of a service are among the last rows of its salts.
+    A batch joins the rows held so far under a rank limit that Spark applies in each task before its
+    shuffle, so a hot service sends at most `window` rows per task.
     """
-    salted = log.where("latency_ms is not null").select(
+    rows = log.where("latency_ms is not null").select(
         "service",
-        F.pmod(F.xxhash64("seq"), F.lit(salts)).cast("int").alias("salt"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("seq").cast("bigint").alias("seq"),
         F.col("latency_ms").cast("double").alias("latency"),
     )
-    state = salted.groupBy("service", "salt").transformWithStateInPandas(
-        LastRows(window),
-        outputStructType="service string, salt int, ts timestamp, seq bigint, latency double",
-        outputMode="Update",
-        timeMode="None",
-    )
-    with rocksdb_state(log.sparkSession):
-        return _write_batches(state, path, checkpoint, "update")
+
+    def merged(batch: DataFrame, held: DataFrame) -> DataFrame:
+        return first_per_group(batch.unionByName(held), "service", [F.desc("ts"), F.desc("seq")], window, "seq")
+
+    return _replace_by_batch(rows, path, checkpoint, "append", merged)
 
 
 def rolling_snapshot(spark: SparkSession, path: str, window: int = WINDOW) -> DataFrame:
-    """service, mean and percentiles over its last `window` rows, from the states written last."""
-    written = spark.read.parquet(path)
-    # One row per service and salt.
-    newest = written.groupBy("service", "salt").agg(F.max("batch").alias("batch"))
-    held = written.join(newest, ["service", "salt", "batch"])
+    """service, mean and percentiles over its last `window` rows of those held."""
     return (
-        first_per_group(held, "service", [F.desc("ts"), F.desc("seq")], window, "seq")
+        first_per_group(_newest(spark, path), "service", [F.desc("ts"), F.desc("seq")], window, "seq")
         .groupBy("service")
         .agg(F.collect_list("latency").alias("held"))
         .select("service", *window_figures(F.col("held")))

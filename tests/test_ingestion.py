@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -209,20 +210,44 @@ def test_running_counts(spark, tmp_path):
         stream = streamed(spark, spark.createDataFrame(rows, "status string"), source)
         count_statuses(stream, out, mark).awaitTermination()
     assert {r.status: r.requests for r in latest_counts(spark, out).collect()} == {"ok": 3, "error": 1}
+    # Further batches replace the older of two versions.
+    for i in range(3):
+        stream = streamed(spark, spark.createDataFrame([("ok",)], "status string"), source)
+        count_statuses(stream, out, mark).awaitTermination()
+        assert sorted(os.listdir(out)) == ["slot=0", "slot=1"]
+        assert spark.read.parquet(out).count() == 4
+        assert {r.status: r.requests for r in latest_counts(spark, out).collect()} == {"ok": 4 + i, "error": 1}
 
 
 def test_rolling_state_equals_the_batch_window(spark, tmp_path):
     source, out, mark = (str(tmp_path / n) for n in ("log", "out", "mark"))
     rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=(i * 37) % 101), "a" if i % 4 else "b", float((i * 13) % 97), False) for i in range(101)]
     df = spark.createDataFrame(rows, "seq bigint, ts timestamp, service string, latency_ms double, error boolean")
-    for part in ("seq < 40", "seq >= 40"):
-        keep_last_rows(streamed(spark, df.where(part), source), out, mark, window=10, salts=3).awaitTermination()
+    for part in ("seq < 40", "seq between 40 and 69", "seq >= 70"):
+        keep_last_rows(streamed(spark, df.where(part), source), out, mark, window=10).awaitTermination()
+    assert sorted(os.listdir(out)) == ["slot=0", "slot=1"] and spark.read.parquet(out).count() == 40
     figures = ["mean_ms", "p50_ms", "p95_ms", "p99_ms"]
     got = {r.service: [r[f] for f in figures] for r in rolling_snapshot(spark, out, 10).collect()}
     batch = {r.service: [r[f] for f in figures] for r in service_snapshot(df, group="service", window=10).collect()}
     assert got == {k: pytest.approx(v) for k, v in batch.items()}
 
 
+def test_a_repeated_batch_starts_from_the_version_before_it(spark, tmp_path):
+    source, out, mark = (str(tmp_path / n) for n in ("log", "out", "mark"))
+    schema = "seq bigint, ts timestamp, service string, latency_ms double"
+    start = dt.datetime(2024, 1, 1)
+    for seqs in ((0, 1), (2, 3), (4, 5)):
+        rows = [(i, start + dt.timedelta(seconds=i), "a", float(i)) for i in seqs]
+        keep_last_rows(streamed(spark, spark.createDataFrame(rows, schema), source), out, mark, window=3).awaitTermination()
+    # As if the last batch had written its rows and failed before it was committed.
+    for name in ("2", ".2.crc"):
+        os.remove(f"{mark}/commits/{name}")
+    keep_last_rows(spark.readStream.schema(schema).parquet(source), out, mark, window=3).awaitTermination()
+    newest = spark.read.parquet(out).where("batch = 2")
+    assert sorted(r.latency for r in newest.collect()) == [3.0, 4.0, 5.0]
+    assert rolling_snapshot(spark, out, 3).first().mean_ms == 4.0
+
+
 def test_feedback_stream(spark, tmp_path):
     source, out, mark = (str(tmp_path / n) for n in ("bodies", "out", "mark"))
     stream = streamed(spark, spark.createDataFrame([('{"true_label":1}',), ("{}",)], "body string"), source)
