@@ -161,6 +161,19 @@ ORACLES = {
                   FROM held GROUP BY query_id)
         SELECT query_id, 'Context:' || chr(10) || context || chr(10) || chr(10) || 'Question: ' || text || chr(10) || 'Answer:' AS prompt
         FROM found JOIN documents ON doc_id = query_id WHERE length(text) BETWEEN 1 AND 2000""",
+    "text_retrieval": r"""
+        WITH t AS (SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+        w AS (SELECT side, id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[^\s\x1c-\x1f\x0b]+')) AS word FROM t),
+        n AS (SELECT side, id, CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % 256 AS b, count(*) AS n FROM w GROUP BY ALL),
+        counts AS (SELECT side, id, list(coalesce(n.n, 0)::DOUBLE ORDER BY b) AS c
+                   FROM (SELECT side, id, unnest(range(256)) AS b FROM t) LEFT JOIN n USING (side, id, b) GROUP BY side, id),
+        single AS (SELECT side, id, list_transform(c, lambda x: (x / greatest(sqrt(list_inner_product(c, c)), 1e-12))::FLOAT)::DOUBLE[] AS e FROM counts),
+        unit AS (SELECT side, id, list_transform(e, lambda x: x / greatest(sqrt(list_inner_product(e, e)), 1e-12)) AS e FROM single),
+        near AS (SELECT q.id AS query_id, c.id AS vec_id, pow(list_distance(q.e, c.e), 2) AS d
+                 FROM unit q JOIN unit c ON q.side = 'b' AND c.side = 'd'),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d, vec_id) AS rank FROM near)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, round(d, 6) AS distance, round(1 / (1 + d), 6) AS score
+        FROM ranked WHERE rank <= 10""",
     "vector_store": """
         SELECT row_number() OVER (ORDER BY label, vec_id) - 1 AS vec_id, CAST(length(text) AS INTEGER) AS chars,
                1.0::DOUBLE AS norm, 0 AS entries

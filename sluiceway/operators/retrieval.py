@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.ml.feature import HashingTF, Normalizer
+from pyspark.ml.feature import CountVectorizerModel, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
@@ -28,10 +28,13 @@ TILE_CELLS = 4_000_000
 
 
 def hash_embedding(df: DataFrame, text: str = "text", dimensions: int = 256, output: str = "embedding") -> DataFrame:
-    """Default embedding: hashed word counts, as a unit vector."""
-    counted = HashingTF(numFeatures=dimensions, inputCol="_words", outputCol="_tf").transform(
-        df.withColumn("_words", words(F.lower(F.col(text))))
-    )
+    """Default embedding: hashed word counts, as a unit vector.
+
+    A word's place is the number of its MD5's first eight hex digits, modulo `dimensions`; other engines can rebuild it.
+    """
+    place = lambda w: F.pmod(F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint"), F.lit(dimensions)).cast("string")
+    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(dimensions)], inputCol="_words", outputCol="_tf")
+    counted = counter.transform(df.withColumn("_words", F.transform(words(F.lower(F.col(text))), place)))
     unit = Normalizer(inputCol="_tf", outputCol="_unit").transform(counted)
     return unit.withColumn(output, vector_to_array("_unit", "float32")).drop("_words", "_tf", "_unit")
 
