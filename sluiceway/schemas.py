@@ -17,27 +17,9 @@ RAW_RECORD = T.StructType(
     ]
 )
 
-FEATURE_ROW = T.StructType(
-    [
-        T.StructField("entity_id", T.StringType()),
-        T.StructField("feature_values", T.StringType()),
-        T.StructField("event_timestamp", T.TimestampType()),
-    ]
-)
-
 METRIC_NAMES = ["accuracy", "f1", "precision", "recall", "loss", "auc"]
 MODEL_METRICS = T.StructType([T.StructField(name, T.DoubleType()) for name in METRIC_NAMES])
 
-DRIFT_REPORT = T.StructType(
-    [
-        T.StructField("timestamp", T.TimestampType()),
-        T.StructField("dataset_drift", T.BooleanType()),
-        T.StructField("drift_score", T.DoubleType()),
-        T.StructField("drifted_columns", T.ArrayType(T.StringType())),
-        T.StructField("details", T.MapType(T.StringType(), T.DoubleType())),
-    ]
-)
-
 FEEDBACK_RECORD = T.StructType(
     [
         T.StructField("prediction_id", T.StringType()),
@@ -48,37 +30,6 @@ FEEDBACK_RECORD = T.StructType(
     ]
 )
 
-PREDICT_REQUEST = T.StructType(
-    [
-        T.StructField("inputs", T.ArrayType(T.StringType())),
-        T.StructField("model_version", T.StringType()),
-    ]
-)
-
-RETRIEVAL_REQUEST = T.StructType(
-    [
-        T.StructField("query", T.StringType()),
-        T.StructField("top_k", T.IntegerType()),
-        T.StructField("temperature", T.DoubleType()),
-    ]
-)
-
-TRAINING_CONFIG = T.StructType(
-    [
-        T.StructField("model_name", T.StringType()),
-        T.StructField("task", T.StringType()),
-        T.StructField("num_labels", T.IntegerType()),
-        T.StructField("max_length", T.IntegerType()),
-        T.StructField("learning_rate", T.DoubleType()),
-        T.StructField("batch_size", T.IntegerType()),
-        T.StructField("num_epochs", T.IntegerType()),
-        T.StructField("warmup_ratio", T.DoubleType()),
-        T.StructField("weight_decay", T.DoubleType()),
-        T.StructField("gradient_clip", T.DoubleType()),
-        T.StructField("experiment_name", T.StringType()),
-    ]
-)
-
 KAFKA_MESSAGE = T.StructType(
     [
         T.StructField("key", T.BinaryType()),
@@ -90,17 +41,6 @@ KAFKA_MESSAGE = T.StructType(
     ]
 )
 
-# Latency log of a service, one row per request.
-REQUEST_LOG = T.StructType(
-    [
-        T.StructField("seq", T.LongType()),
-        T.StructField("ts", T.TimestampType()),
-        T.StructField("service", T.StringType()),
-        T.StructField("latency_ms", T.DoubleType()),
-        T.StructField("error", T.BooleanType()),
-    ]
-)
-
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 _TIMESTAMP = (T.TimestampType, T.TimestampNTZType)
 
