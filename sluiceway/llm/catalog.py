@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluiceway.catalog.base import table
-from sluiceway.llm import blocks, imatch, language_id, language_model, minhash, packing, quality, rendezvous, sparse_suffix, tiling, tool_calls
+from sluiceway.llm import blocks, imatch, language_id, language_model, minhash, packing, quality, rank_merge, rendezvous, sparse_suffix, sql, tiling, tool_calls, variants
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +63,16 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rendezvous.placements(table(spark, sf_dir, "documents"), [1.0] * 8)
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return rank_merge.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
@@ -74,5 +84,7 @@ QUERIES = {
     "op8_near_dups": op8_near_dups,
     "op9_language": op9_language,
     "op10_sharding": op10_sharding,
+    "op11_token_counts": op11_token_counts,
+    "op12_spelling_variants": op12_spelling_variants,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = sql.ORACLES
