@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluiceway.catalog.base import table
-from sluiceway.llm import blocks, imatch, language_id, language_model, minhash, packing, quality, rank_merge, rendezvous, sparse_suffix, sql, tiling, tool_calls, variants
+from sluiceway.llm import alignment, blocks, imatch, language_id, language_model, minhash, packing, quality, rank_merge, rendezvous, sparse_suffix, sql, tiling, tool_calls, variants
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +73,13 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variants(table(spark, sf_dir, "documents"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
@@ -86,5 +93,6 @@ QUERIES = {
     "op10_sharding": op10_sharding,
     "op11_token_counts": op11_token_counts,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_token_alignment": op13_token_alignment,
 }
 ORACLES: dict[str, str] = sql.ORACLES

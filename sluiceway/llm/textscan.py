@@ -55,10 +55,6 @@ class _Powers:
 _powers = _Powers()
 
 
-def _up(n: int) -> int:
-    return max(SLICE_BYTES, 1 << max(0, int(n - 1).bit_length()))
-
-
 def flat(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     """One array of binary texts, nulls as empty texts."""
     if isinstance(column, pa.ChunkedArray):
@@ -83,11 +79,32 @@ def slices(column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) -> Iter
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each byte span."""
-    power, inverse = _powers(_up(len(data) + 1))
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    """Hash of each byte span. Bytes are summed in windows of `SLICE_BYTES`, so a long text needs no more room than a short one."""
+    width = SLICE_BYTES
+    power, inverse = _powers(width + 1)
+    low, high = np.zeros(len(starts), dtype=np.uint64), np.zeros(len(ends), dtype=np.uint64)
+    wanted = [(starts, low, _order(starts)), (ends, high, _order(ends))]
+    total, scale = np.uint64(0), 1
+    for at in range(0, len(data) + 1, width):
+        part = data[at : at + width]
+        sums = np.empty(len(part) + 1, dtype=np.uint64)
+        sums[0] = total
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * power[: len(part)], out=sums[1:])
+        if at:
+            sums[1:] *= np.uint64(scale)
+            sums[1:] += total
+        for places, out, order in wanted:
+            a, b = np.searchsorted(places, [at, at + width], sorter=order)
+            own = slice(a, b) if order is None else order[a:b]
+            out[own] = sums[places[own] - at]
+        total, scale = sums[-1], scale * pow(_P, width, 1 << 64) % (1 << 64)
+    back = np.array([pow(_P, -width * w, 1 << 64) for w in range(len(data) // width + 1)], dtype=np.uint64)
+    unshift = inverse[starts % width] * back[starts // width]
+    return mix((high - low) * unshift + (ends - starts).astype(np.uint64))
+
+
+def _order(places: np.ndarray) -> np.ndarray | None:
+    return None if len(places) < 2 or (places[1:] >= places[:-1]).all() else np.argsort(places, kind="stable")
 
 
 @dataclass
@@ -131,14 +148,24 @@ def words(data: np.ndarray, offsets: np.ndarray) -> Words:
 
 
 def windows(hashes: np.ndarray, k: int) -> np.ndarray:
-    """Hash of the k words from each position on; documents are not looked at. Shorter than `hashes` by k - 1."""
+    """Hash of the k words from each position on; documents are not looked at. Shorter than `hashes` by k - 1.
+
+    Windows of 1, 2, 4, ... words are put together from the ones before.
+    """
     n = len(hashes) - k + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    power, inverse = _powers(_up(len(hashes) + 1))
-    sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
-    np.cumsum(hashes * power[: len(hashes)], out=sums[1:])
-    return mix((sums[k:] - sums[:-k]) * inverse[:n])
+    out, done, part, size = np.zeros(len(hashes) + 1, dtype=np.uint64), 0, hashes, 1
+    while k:
+        if k & 1:
+            m = len(hashes) - done - size + 1
+            out = out[:m] + np.uint64(pow(_P, done, 1 << 64)) * part[done : done + m]
+            done += size
+        k >>= 1
+        if k:
+            part = part[:-size] + np.uint64(pow(_P, size, 1 << 64)) * part[size:]
+            size *= 2
+    return mix(out)
 
 
 def shingles(found: Words, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -374,4 +374,4 @@ def test_pipeline_stages_keep_columns_and_clean_documents(spark, data):
 
 
 def test_every_operator_has_a_query():
-    assert {name.split("_")[0] for name in catalog.QUERIES} == {f"op{i}" for i in range(1, 13)}
+    assert {name.split("_")[0] for name in catalog.QUERIES} == {f"op{i}" for i in range(1, 14)}
