@@ -11,7 +11,8 @@ from sluiceway.llm import alignment, blocks, imatch, language_id, language_model
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    added = packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), added=added)
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,16 +1,21 @@
 """Document fingerprints by I-Match with randomised lexicons.
 
-Terms (runs of letters and digits, A-Z lower-cased, with all characters beyond ASCII) whose document frequency lies in a band of shares of all documents form the
-lexicon; too rare and too frequent terms say little about a text. The band's lower end is a share, so the
-lexicon holds at most (mean distinct terms per document) / low terms whatever the corpus: that bound is
-what makes its broadcast safe. A document keeps its distinct terms of the lexicon, sorted. Each of `copies`
-random lexicons keeps a further random share of them, halved until about `EXPECTED` terms of the document
-are left, and the sorted terms left are hashed. The fingerprint has the hashes for two neighbouring
-shares; fingerprints are compared at a share that both have, and their likeness is the share of equal
-hashes among the lexicons that keep a term of either.
-
-Texts with fewer than FEW lexicon terms use all their terms; texts without terms are alike only if all are.
-Null texts are empty; repeated rows have equal fingerprints; an empty table gives an empty result.
+Terms (runs of letters and digits, A-Z lower-cased, with all characters beyond ASCII) whose document
+frequency lies in a band of shares of all documents form the lexicon; too rare and too frequent terms say
+little about a text. The band's lower end is a share, so the lexicon holds at most (mean distinct terms per
+document) / low terms whatever the corpus: that bound is what makes its broadcast safe.
+
+The lexicon's random subsets are fixed for the corpus, the same for every document: each of `SEEDS` random
+orders of the terms gives `LEVELS` subsets, which keep all, a half, a quarter, ... of the lexicon. A document
+keeps its distinct terms of the lexicon, sorted; for each subset the whole set of its terms that the subset
+keeps is hashed. The fingerprint is the list of these hashes. An edit leaves the hashes of the subsets that
+keep none of the terms concerned; the likeness of two fingerprints is the share of equal hashes at the
+sparsest two levels where at least half of the subsets keep a term of either.
+
+Texts without a term of the lexicon are fingerprinted by all their terms in order and are alike only if
+those are equal. Null texts are empty; repeated rows have equal fingerprints; equal ids follow each other by
+their text's hash, missing ids come first; an empty table gives an empty result. Other columns than doc_id
+and text are not read, whatever their names. Texts are taken whole; a task holds one slice of whole texts.
 """
 
 from __future__ import annotations
@@ -27,12 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 from sluiceway.llm import textscan
 
 LOW, HIGH = 0.001, 0.1
-COPIES = 96
-EXPECTED = 0.7
-# Documents with fewer terms in the band are fingerprinted by all their terms.
-FEW = 6
-# Terms that are broadcast at most, 8 bytes each: a mean of 4,000 distinct terms per document at LOW.
-LEXICON_LIMIT = 4_000_000
+SEEDS, LEVELS = 24, 14
 PARTITION_BYTES = 8 << 20
 
 
@@ -72,70 +72,63 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
 
 
 def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> np.ndarray:
-    """Sorted hashes of the terms in the band; raises beyond LEXICON_LIMIT instead of leaving terms out."""
+    """Sorted hashes of the terms in the band; their number is bounded by `low` (see above)."""
     total = docs.count()
     band = document_frequencies(docs).where((F.col("n") >= max(2, math.ceil(low * total))) & (F.col("n") <= high * total))
-    terms = band.select("term").limit(LEXICON_LIMIT + 1).toArrow()["term"].to_numpy()
-    if len(terms) > LEXICON_LIMIT:
-        raise ValueError(f"more than {LEXICON_LIMIT} terms in the band; raise `low`")
+    terms = band.select("term").toArrow()["term"].to_numpy()
     return np.sort(np.ascontiguousarray(terms).view(np.uint64))
 
 
-_SEEDS = textscan.mix(np.arange(1, COPIES + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+_SEEDS = textscan.mix(np.arange(1, SEEDS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 
 
-def _hashes(terms: np.ndarray, level: int) -> str:
-    """24-bit hashes, in hex, of the sorted terms that each random lexicon keeps at a level and the next; 0 for none."""
-    at = textscan.mix(terms[:, None] ^ _SEEDS[None, :])
-    out = []
-    for share in (level, level + 1):
-        term, lexicon_ = np.nonzero(at < np.uint64((1 << 64) - 1 >> share))
-        sums = np.zeros(COPIES, dtype=np.uint64)
-        np.add.at(sums, lexicon_, textscan.mix(at[term, lexicon_]))
-        short = (sums >> np.uint64(40)).astype(">u4")
-        short[np.unique(lexicon_)] = np.maximum(short[np.unique(lexicon_)], 1)
-        out.append(short.view(np.uint8).reshape(-1, 4)[:, 1:].tobytes().hex())
-    return ":".join(out)
+def subset_hashes(terms: np.ndarray) -> np.ndarray:
+    """16-bit hash of the terms that each subset keeps, (levels, seeds); 0 where it keeps none."""
+    sums = np.zeros((LEVELS, SEEDS), dtype=np.uint64)
+    filled = np.zeros((LEVELS, SEEDS), dtype=bool)
+    for part in range(0, len(terms), 1 << 14):
+        at = textscan.mix(terms[part : part + (1 << 14), None] ^ _SEEDS[None, :])
+        seed = np.broadcast_to(np.arange(SEEDS), at.shape).ravel()
+        at = at.ravel()
+        for level in range(LEVELS):
+            if level:
+                keep = at < np.uint64(1 << (64 - level))
+                at, seed = at[keep], seed[keep]
+            np.add.at(sums[level], seed, textscan.mix(at))
+            filled[level] |= np.bincount(seed, minlength=SEEDS) > 0
+    short = (textscan.mix(sums) >> np.uint64(48)).astype(">u2")
+    return np.where(filled, np.maximum(short, 1), 0).astype(">u2")
 
 
 def fingerprints(data: np.ndarray, offsets: np.ndarray, terms: np.ndarray) -> list[str]:
     """Fingerprint of each text of a slice."""
     sequence, at = document_terms(data, offsets)
     every, first = textscan.distinct(sequence, at)
+    kept = np.zeros(len(every), dtype=bool)
     if len(terms):
         kept = terms[np.minimum(np.searchsorted(terms, every), len(terms) - 1)] == every
-    else:
-        kept = np.zeros(len(every), dtype=bool)
-    # Documents with hardly a term in the band use all their terms.
-    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-        if kept[a:b].sum() < FEW:
-            kept[a:b] = True
     total = np.concatenate([[0], np.cumsum(kept)])[first]
     every = every[kept]
     out = []
     for d, (a, b) in enumerate(zip(total[:-1].tolist(), total[1:].tolist(), strict=True)):
         if a == b:
             out.append("w:" + hashlib.md5(sequence[at[d] : at[d + 1]].tobytes()).hexdigest())
-            continue
-        level = max(0, round(math.log2((b - a) / EXPECTED)))
-        out.append(f"{level}:{_hashes(every[a:b], level)}")
+        else:
+            out.append(subset_hashes(every[a:b]).tobytes().hex())
     return out
 
 
 def likeness(a: str, b: str) -> float:
-    """Share of equal hashes among lexicons that keep a term of either; 0 without a common level, 1 if all is equal."""
+    """Share of equal hashes at the sparsest two levels where at least half of the subsets keep a term of either; 1 if all is equal."""
     if a == b:
         return 1.0
     if a.startswith("w:") or b.startswith("w:"):
         return 0.0
-    (x, *of_a), (y, *of_b) = a.split(":"), b.split(":")
-    level = max(int(x), int(y))
-    if level - int(x) > 1 or level - int(y) > 1:
-        return 0.0
-    p = np.frombuffer(bytes.fromhex(of_a[level - int(x)]), dtype=np.uint8).reshape(-1, 3)
-    q = np.frombuffer(bytes.fromhex(of_b[level - int(y)]), dtype=np.uint8).reshape(-1, 3)
-    filled = p.any(axis=1) | q.any(axis=1)
-    return float((filled & (p == q).all(axis=1)).sum() / filled.sum()) if filled.any() else 0.0
+    p, q = (np.frombuffer(bytes.fromhex(x), dtype=">u2").reshape(LEVELS, SEEDS) for x in (a, b))
+    filled = (p != 0) | (q != 0)
+    level = int(np.flatnonzero(2 * filled.sum(axis=1) >= SEEDS)[-1])  # level 0 keeps all terms
+    some = slice(max(0, level - 1), level + 1)
+    return float((filled & (p == q))[some].sum() / filled[some].sum())
 
 
 def fingerprint_documents(docs: DataFrame, terms: np.ndarray) -> DataFrame:

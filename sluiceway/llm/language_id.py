@@ -2,12 +2,17 @@
 
 Runs of one to three characters (lower-cased by Python's rules, digits as 0) are hashed into 2^15 places.
 A place's value is (1 + log count) * idf, scaled to unit length; idf comes from the document frequencies of
-all documents. The weights are trained with FTRL, whose L1 and L2 terms are the elastic net, on a bounded
-sample of rows with a language (`max_rows`, by the hash of id and text); a tenth of the sample is kept from
-training to choose the temperature that divides all scores so that probabilities are calibrated.
+all rows that may be learned from: those where `learn` holds and that have a text and a language. No other
+row's text has any effect on the model. The weights are trained with FTRL, whose L1 and L2 terms are the
+elastic net, on a bounded sample of these rows (`max_rows`, by the hash of id and text): every language gets
+an equal share of it, and what rare languages leave goes to the others. A tenth of the sample is kept from
+training to choose the temperature that divides all scores so that probabilities are calibrated; a weak pull
+towards 1 keeps it finite where the kept rows are told apart without an error.
 
 Null texts and texts without a letter are `und` with score 1; with no languages to learn every text is.
-Repeated rows count once in training. Ties go to the language first in order.
+Repeated rows count once in training. Ties go to the language first in order. An empty table gives no rows.
+Other columns than doc_id, text and lang are not read, whatever their names. Texts are taken whole; a task
+holds several 8-byte numbers per character of the text at hand.
 """
 
 from __future__ import annotations
@@ -55,7 +60,7 @@ def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def inverse_frequencies(docs: DataFrame) -> np.ndarray:
-    """idf of each place over all documents; each task sends one counter per place."""
+    """idf of each place over the given documents; each task sends one counter per place."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = 0, np.zeros(1 << BITS, dtype=np.int64)
@@ -84,14 +89,16 @@ def features(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def train(docs: DataFrame, learn: Column, max_rows: int = MAX_ROWS, settings: ftrl.Settings = SETTINGS) -> Model:
     """Model of the languages in the rows where `learn` holds; the driver holds its weights and the calibration scores."""
-    idf = inverse_frequencies(docs)
     rows = docs.where(learn).select("text", F.col("lang").alias("label"), F.xxhash64("doc_id", "text").alias("key"))
     rows = rows.where(F.col("label").isNotNull() & (F.col("label") != UNDETERMINED) & F.col("text").isNotNull())
-    counts = rows.groupBy("label").count().collect()
-    languages = sorted(r.label for r in counts)
-    n = sum(r["count"] for r in counts)
+    idf = inverse_frequencies(rows)
+    found = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
+    languages = sorted(found)
+    n = sum(found.values())
     if n > max_rows:
-        rows = rows.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int((1 << 30) * max_rows / n))
+        shares = sample_shares(found, max_rows)
+        share = F.element_at(F.create_map(*[F.lit(x) for pair in shares.items() for x in pair]), F.col("label"))
+        rows = rows.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < share * (1 << 30))
     if len(languages) < 2:
         return Model(languages, np.zeros((1 << BITS, max(1, len(languages))), dtype=np.float32), idf, 1.0)
     number = {name: i for i, name in enumerate(languages)}
@@ -126,17 +133,32 @@ def train(docs: DataFrame, learn: Column, max_rows: int = MAX_ROWS, settings: ft
     return Model(languages, weights, idf, best_temperature(np.array([r.raw for r in held]), np.array([r.label for r in held])))
 
 
+def sample_shares(counts: dict[str, int], max_rows: int) -> dict[str, float]:
+    """Share of each language's rows to take: equal numbers of rows, what small languages lack goes to the others."""
+    shares, left, room = {}, len(counts), float(max_rows)
+    for label, n in sorted(counts.items(), key=lambda x: (x[1], x[0])):
+        take = min(float(n), room / left)
+        shares[label] = take / n
+        room, left = room - take, left - 1
+    return shares
+
+
+# Weight of the pull of the temperature towards 1, in rows.
+PULL = 0.5
+
+
 def best_temperature(scores: np.ndarray, labels: np.ndarray) -> float:
-    """Divisor of the scores with the least log loss, by golden-section search over its logarithm."""
+    """Divisor of the scores with the least log loss plus pull, by golden-section search over its logarithm."""
     if not len(labels):
         return 1.0
 
     def loss(log_t: float) -> float:
         p = ftrl.probabilities(scores / np.exp(log_t))
-        return float(-np.log(np.maximum(p[np.arange(len(labels)), labels], 1e-12)).mean())
+        fit = float(-np.log(np.maximum(p[np.arange(len(labels)), labels], 1e-300)).mean())
+        return fit + PULL * log_t * log_t / len(labels)
 
-    low, high, ratio = np.log(0.02), np.log(20.0), (np.sqrt(5) - 1) / 2
-    for _ in range(40):
+    low, high, ratio = np.log(1e-4), np.log(1e4), (np.sqrt(5) - 1) / 2
+    for _ in range(50):
         a, b = high - ratio * (high - low), low + ratio * (high - low)
         low, high = (low, b) if loss(a) <= loss(b) else (a, high)
     return float(np.exp((low + high) / 2))

@@ -15,7 +15,10 @@ group of copies does not cost its square, and no link between different componen
 Components are found by alternating large-star and small-star steps on tables in the shared folder.
 
 Null texts and texts without words have an empty set and no links. A missing doc_id takes part, but does
-not name a component unless no member has an id. Repeated rows are in one node.
+not name a component unless no member has an id. Repeated rows are in one node. Of a component the row of
+the least id stays in `without_near_duplicates`, rows without id come last, equal ids go by their text's
+hash, and equal rows count as one. An empty table gives no rows; other columns are not read, whatever their
+names. Texts are taken whole; a task holds one slice of whole texts.
 """
 
 from __future__ import annotations
@@ -177,7 +180,7 @@ def _reachable(size_a: str, size_b: str, similarity: int) -> Column:
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
-    """doc_id, text_key, n_shingles, component_id and kept of every row."""
+    """doc_id, text_key, n_shingles, component_id, kept and root (the component's own name) of every row."""
     every = to_scratch_table(prints(docs, k), "prints")
     full = every.where("n_shingles > 0")
     nodes = full.groupBy("node").agg(
@@ -229,17 +232,19 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similarity: int = SIMILAR
 
     named = nodes.select("node", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = named.join(names, "root").select("node", "component_id")
+    named = named.join(names, "root").select("node", "component_id", "root")
     result = every.select("doc_id", "text_key", "n_shingles", "node").join(named, "node", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return result.select(
-        "doc_id", "text_key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "node"
+        "doc_id", "text_key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "root"
     )
 
 
 def without_near_duplicates(docs: DataFrame, k: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
     """One document of each group, with all its columns; of repeated rows one stays."""
     least = F.lit(np.iinfo(np.int64).min)
-    kept = near_duplicates(docs, k, similarity).where("kept").select(F.coalesce("doc_id", least).alias("id"), F.col("text_key").alias("key"))
+    found = near_duplicates(docs, k, similarity).select(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key").alias("r"), "root")
+    first = found.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("r").alias("r")).select("r")
+    kept = first.union(found.where(F.col("root").isNull()).select("r")).select(F.coalesce("r.doc_id", least).alias("id"), F.col("r.text_key").alias("key"))
     rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), least).alias("id"), F.xxhash64("text").alias("key"))
     return rows.join(kept.distinct(), ["id", "key"], "left_semi").dropDuplicates(["id", "key"]).select("row.*")

@@ -9,16 +9,20 @@ bounded whatever a partition holds; a block's last window is split into powers o
 padding) where that is cheaper than padding it.
 
 Ids are those of the given vocabulary. Texts are cut before spaces where the vocabulary's word pattern
-always cuts, each distinct unit is encoded once per task (found by a 64-bit hash of its bytes), and ids are
-gathered for all units at once.
+always cuts, and around the strings of `added` tokens, which have ids of their own (as `tokenizers` has it
+for a vocabulary file as loaded). Each distinct unit is encoded once per task (found by a 64-bit hash of its
+bytes), and ids are gathered for all units at once.
 
 Null texts are empty: their document is id 0 alone. Rows with equal ids are separate documents. Rows
-without id come first. An empty table gives no pieces.
+without id come first. An empty table gives no pieces. Other columns than doc_id and text are not read,
+whatever their names. Texts are taken whole: a task holds one slice of whole texts and a block of tokens.
 """
 
 from __future__ import annotations
 
+import json
 import math
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -47,10 +51,19 @@ class Penalties:
     inside: int = 24
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Strings and ids of the added tokens of a vocabulary file in JSON form."""
+    with open(path, encoding="utf-8") as file:
+        listed = json.load(file).get("added_tokens", [])
+    if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in listed):
+        raise ValueError("added tokens that take white space or word borders are not supported")
+    return {t["content"]: t["id"] for t in listed}
+
+
 class UnitEncoder:
-    """Token ids of whole texts by a byte-level vocabulary in rank form."""
+    """Token ids of whole texts by a byte-level vocabulary in rank form, and the strings of added tokens."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added: dict[str, int] | None = None) -> None:
         import base64
 
         import public_tokenizers
@@ -58,7 +71,10 @@ class UnitEncoder:
 
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
         self.model = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        ends = np.zeros(max(ranks.values()) + 2, dtype=bool)
+        self.added = {text.encode(): i for text, i in (added or {}).items()}
+        longest_first = sorted(self.added, key=lambda x: (-len(x), x))
+        self.find_added = re.compile(b"|".join(map(re.escape, longest_first))) if self.added else None
+        ends = np.zeros(max([*ranks.values(), *self.added.values()]) + 1, dtype=bool)
         ends[[i for token, i in ranks.items() if token.endswith((b".", b"!", b"?", b"\n", b"\xe3\x80\x82"))]] = True
         self.ends_sentence = ends
         self._forget()
@@ -77,7 +93,19 @@ class UnitEncoder:
         plain = (after < 128) & (after > 32)
         # Some white space beyond ASCII begins with these bytes; before it only a visible character makes the cut sure.
         wide = (after >= 128) & (((before > 32) & (before < 127)) | ~np.isin(after, [0xC2, 0xE1, 0xE2, 0xE3]))
-        return np.union1d(at[plain | wide], offsets[:-1][np.diff(offsets) > 0])
+        begins = np.zeros(len(data) + 1, dtype=bool)
+        begins[at[plain | wide]] = True
+        # White space right before an added token belongs together: the text is cut there, not before the last space.
+        borders = [x.span() for x in self.find_added.finditer(data.tobytes())] if self.find_added else []
+        borders = [(a, b) for a, b in borders if np.searchsorted(offsets, a, side="right") == np.searchsorted(offsets, b - 1, side="right")]
+        for a, b in borders:
+            begins[a + 1 : b] = False
+            if a and data[a - 1] == 32:
+                begins[a - 1] = False
+        for a, b in borders:
+            begins[a] = begins[b] = True
+        begins[offsets[:-1][np.diff(offsets) > 0]] = True
+        return np.flatnonzero(begins[:-1])
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, number of ids of each text)."""
@@ -94,8 +122,9 @@ class UnitEncoder:
             new = self.known[np.minimum(at, len(self.known) - 1)] != hashes
         if new.any():
             raw = data.tobytes()
-            encode = self.model.encode_ordinary
-            ids = [encode(raw[a:b].decode()) for a, b in zip(starts[some[new]].tolist(), ends[some[new]].tolist(), strict=True)]
+            encode, added = self.model.encode_ordinary, self.added
+            fresh = (raw[a:b] for a, b in zip(starts[some[new]].tolist(), ends[some[new]].tolist(), strict=True))
+            ids = [[added[unit_]] if unit_ in added else encode(unit_.decode()) for unit_ in fresh]
             fresh = np.arange(len(ids)) + len(self.first) - 1
             sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
             self.first = np.append(self.first, self.first[-1] + np.cumsum(sizes))
@@ -168,10 +197,12 @@ def pack(
     penalties: Penalties = Penalties(),  # noqa: B008
     partition_bytes: int = PARTITION_BYTES,
     with_ids: bool = False,
+    added: dict[str, int] | None = None,
 ) -> DataFrame:
     """One row per piece of a document: its place in the document and in its sequence, and a checksum of its ids.
 
-    `vocabulary` is the path of a rank file that every executor has. With `with_ids` the piece's ids are added.
+    `vocabulary` is the path of a rank file that every executor has, `added` the added tokens' strings and ids
+    (see `added_tokens`). With `with_ids` the piece's ids are added.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
@@ -185,7 +216,7 @@ def pack(
     schema = SCHEMA + ", ids array<int>" if with_ids else SCHEMA
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = UnitEncoder(vocabulary)
+        encoder = UnitEncoder(vocabulary, added)
         next_id = TaskContext.get().partitionId() << 40
         waiting: list[tuple[list, np.ndarray, np.ndarray]] = []
         held = 0

@@ -7,10 +7,12 @@ topologically: a call's layer is one more than the highest layer of the calls it
 as variants, whose text form has sorted keys and no blanks, and compared with the tool's schema.
 
 Status of a call: `linked`, `pending` (no result). Of a result: `linked`, `orphan` (no call). If several rows
-have one identifier, the first turn is the call or the result and later ones are `repeated`. Arguments are
+have one identifier, the first turn is the call or the result (of equal turns the smallest content) and the
+others are `repeated`. A missing conversation is a conversation like any other. Arguments are
 `valid`, `malformed` (no JSON object, or a key twice), `unknown_tool`, `missing` (a required one) or `mistyped`
 (a type differs, or a name isn't in the schema). Calls that need each other in a circle, and calls that need
-them, have layer null. Null arguments are an empty object; a missing identifier links with nothing.
+them, have layer null. Null arguments are an empty object; a missing identifier links with nothing. Empty
+tables give no rows; further columns are not read, whatever their names. Texts of any length are kept whole.
 """
 
 from __future__ import annotations
@@ -75,21 +77,25 @@ def linked(calls: DataFrame, results: DataFrame) -> DataFrame:
         "conv_id", "turn", F.lit("result").alias("kind"), "id", F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("arguments"),
         F.lit(None).cast("array<string>").alias("after"), "content",
     )
-    rows = shaped.unionByName(replies)
-    # Partial sums before the shuffle: one row per identifier meets, however often it occurs.
-    turn_of = lambda kind: F.min(F.when(F.col("kind") == kind, F.col("turn")))
-    ends = rows.where(F.col("id").isNotNull()).groupBy("conv_id", "id").agg(turn_of("call").alias("call_turn"), turn_of("result").alias("result_turn"))
-    ends = ends.select(F.col("conv_id").alias("_conv"), F.col("id").alias("_id"), "call_turn", "result_turn")
+    rows = to_scratch_table(shaped.unionByName(replies).withColumn("_row", F.monotonically_increasing_id()), "messages")
+    # Partial minima before the shuffle: one row per identifier meets, however often it occurs.
+    place = F.struct("turn", "name", "arguments", F.to_json("after").alias("after"), "content", "_row")
+    first_of = lambda kind: F.min(F.when(F.col("kind") == kind, place))
+    ends = rows.where(F.col("id").isNotNull()).groupBy("conv_id", "id").agg(first_of("call").alias("call"), first_of("result").alias("result"))
+    ends = ends.select(
+        F.col("conv_id").alias("_conv"), F.col("id").alias("_id"), F.col("call._row").alias("call_row"), F.col("result._row").alias("result_row"),
+        F.col("call.turn").alias("call_turn"),
+    )
     joined = rows.join(ends.hint("shuffle_hash"), F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("id") == F.col("_id")), "left")
-    own = F.when(F.col("kind") == "call", F.col("call_turn")).otherwise(F.col("result_turn"))
-    other = F.when(F.col("kind") == "call", F.col("result_turn")).otherwise(F.col("call_turn"))
+    own = F.when(F.col("kind") == "call", F.col("call_row")).otherwise(F.col("result_row"))
+    other = F.when(F.col("kind") == "call", F.col("result_row")).otherwise(F.col("call_row"))
     status = (
-        F.when(own != F.col("turn"), "repeated")
+        F.when(own != F.col("_row"), "repeated")
         .when(other.isNotNull(), "linked")
         .when(F.col("kind") == "call", "pending")
         .otherwise("orphan")
     )
-    follows = (F.col("kind") == "result") & F.col("call_turn").isNotNull()
+    follows = (F.col("kind") == "result") & F.col("call_row").isNotNull()
     return joined.select(
         *columns,
         status.alias("status"),
@@ -102,7 +108,9 @@ def layered(calls: DataFrame) -> DataFrame:
     """(conv_id, id, layer) of identified calls, by rounds over the calls whose needs are settled.
 
     Needs that name no call of the conversation count as settled. A round is one join per layer of the graph.
+    A conversation is joined as a struct, so that a missing one meets itself.
     """
+    calls = calls.withColumn("conv_id", F.struct(F.col("conv_id").alias("v")))
     nodes = calls.where(F.col("id").isNotNull()).groupBy("conv_id", "id").agg(F.flatten(F.collect_set(F.coalesce("after", F.array().cast("array<string>")))).alias("after"))
     edges = nodes.select("conv_id", "id", F.explode("after").alias("need")).distinct()
     names = nodes.select("conv_id", F.col("id").alias("need"))
@@ -118,7 +126,7 @@ def layered(calls: DataFrame) -> DataFrame:
             break
         settled = settled.unionByName(ready)
         edges = to_scratch_table(edges.join(ready, ["conv_id", "id"], "left_anti"), "needs")
-    return settled
+    return settled.withColumn("conv_id", F.col("conv_id.v"))
 
 
 def formatted(calls: DataFrame, results: DataFrame, tools: DataFrame) -> DataFrame:

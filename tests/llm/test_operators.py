@@ -15,6 +15,7 @@ import public_tokenizers
 from sluiceway.llm import blocks, catalog, imatch, language_id, language_model, minhash, packing, quality, rendezvous, sparse_suffix, textscan, tiling, tool_calls
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+ADDED = packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
 CLASHING = ["score", "block", "bucket", "kept", "text_key", "node", "key", "row", "part", "shard", "slot", "first", "n"]
 
 
@@ -63,7 +64,6 @@ def check_pieces(docs, pieces, length=1024):
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    model.encode_special_tokens = True
     expected = Counter(tuple([r.doc_id, *model.encode(r.text or "", add_special_tokens=False).ids, 0]) for r in docs.collect())
     by_doc, sequences = defaultdict(list), defaultdict(list)
     for p in pieces:
@@ -88,11 +88,31 @@ def check_pieces(docs, pieces, length=1024):
 
 
 def test_packing(spark, edge, real, empty):
-    check_pieces(edge, packing.pack(edge, VOCABULARY).collect())
-    assert check_pieces(real, packing.pack(real, VOCABULARY, partition_bytes=1 << 16).collect()) < 0.02
+    check_pieces(edge, packing.pack(edge, VOCABULARY, added=ADDED).collect())
+    assert check_pieces(real, packing.pack(real, VOCABULARY, partition_bytes=1 << 16, added=ADDED).collect()) < 0.02
     assert packing.pack(empty, VOCABULARY).collect() == []
 
 
+def test_packing_has_the_tokenizers_ids_for_added_tokens(spark):
+    token = "<|endoftext|>"
+    texts = [token, f"a {token}", f"a  {token}  b", f"{token}{token} {token}\n", f"x{token}y<|endoftext", f" {token}", f"word \t {token} , 12{token}é", "<|endoftext| >", "plain"]
+    texts += [f"{token} " * 400, "".join(f"w{i} {token}"[: 5 + i % 9] for i in range(300))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check_pieces(docs, packing.pack(docs, VOCABULARY, added=ADDED).collect())
+    assert ADDED == {token: 50256}
+
+
+def test_packed_ids_are_those_of_the_texts(spark):
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = spark.createDataFrame([(1, "one <|endoftext|> two " * 300), (2, None), (3, "drei")], "doc_id long, text string")
+    ids = defaultdict(list)
+    for r in packing.pack(docs, VOCABULARY, added=ADDED, with_ids=True).orderBy("doc_id", "start").collect():
+        ids[r.doc_id] += r.ids
+    assert ids == {r.doc_id: [*model.encode(r.text or "", add_special_tokens=False).ids, 0] for r in docs.collect()}
+
+
 def test_packing_cuts_are_optimal():
     rng = np.random.default_rng(1)
     for _ in range(30):
@@ -172,6 +192,43 @@ def test_fingerprints(edge, real, empty):
     assert imatch.compare_with_edits(empty, imatch.lexicon(empty)).collect() == []
 
 
+def test_fingerprints_equal_a_plain_loop(real):
+    """Lexicon, subsets and hashes recomputed term by term."""
+    rows = real.select("doc_id", "text").collect()
+    own = {r.doc_id: re.findall(r"[0-9a-z\u0080-\U0010ffff]+", r.text.translate({i: i + 32 for i in range(65, 91)})) for r in rows}
+    seen = Counter(t for terms in own.values() for t in set(terms))
+    band = {t for t, n in seen.items() if max(2, math.ceil(0.001 * len(rows))) <= n <= 0.1 * len(rows)}
+    assert len(imatch.lexicon(real)) == len(band)
+
+    def hashed(term):
+        data = np.frombuffer(term.encode(), dtype=np.uint8)
+        return int(textscan.span_hashes(data, np.array([0]), np.array([len(data)]))[0])
+
+    mix = lambda x: int(textscan.mix(np.array([x % 2**64], dtype=np.uint64))[0])
+    prints = {r.doc_id: r.fingerprint for r in imatch.fingerprint_documents(real, imatch.lexicon(real)).collect()}
+    for doc_id in sorted(own)[:12]:
+        kept = [hashed(t) for t in sorted(set(own[doc_id]) & band)]
+        if not kept:
+            assert prints[doc_id].startswith("w:")
+            continue
+        expected = ""
+        for level in range(imatch.LEVELS):
+            for seed in imatch._SEEDS.tolist():
+                subset = [x for x in (mix(t ^ seed) for t in kept) if x < 2 ** (64 - level)]
+                expected += f"{max(1, mix(sum(mix(x) for x in subset)) >> 48) if subset else 0:04x}"
+        assert prints[doc_id] == expected
+
+
+def test_likeness_of_fingerprints():
+    rng = np.random.default_rng(0)
+    terms = rng.integers(1, 2**63, 900).astype(np.uint64)
+    print_of = lambda x: imatch.subset_hashes(np.sort(x)).tobytes().hex()
+    assert imatch.likeness(print_of(terms), print_of(terms)) == 1
+    near, far = imatch.likeness(print_of(terms), print_of(terms[:850])), imatch.likeness(print_of(terms[:450]), print_of(terms[450:]))
+    assert near > 0.5 > 0.1 > far
+    assert imatch.likeness("w:a", print_of(terms)) == 0 and imatch.likeness("w:a", "w:a") == 1
+
+
 def brute_tiles(a, b, shortest):
     free_a, free_b, covered = [True] * len(a), [True] * len(b), 0
     while True:
@@ -305,6 +362,15 @@ def test_keeping_one_of_each_group(edge, empty):
     assert minhash.without_near_duplicates(empty).collect() == []
 
 
+def test_one_of_each_group_stays_without_or_with_equal_ids(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    near = [base.replace("w30 ", f"v{i} ") for i in range(4)]
+    rows = [(None, near[0]), (None, near[1]), (None, near[2]), (7, "other " + " ".join(f"x{i}" for i in range(60))), (7, "another " + " ".join(f"x{i}" for i in range(60))), (8, ""), (8, None), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = minhash.without_near_duplicates(docs, k=5).collect()
+    assert Counter(r.doc_id for r in kept) == Counter([None, 7, 8, 8, 9])
+
+
 def test_language(edge, real, empty):
     learn = blocks.crc_mod(F.col("doc_id"), 4) != 2
     model = language_id.train(real, learn)
@@ -317,6 +383,55 @@ def test_language(edge, real, empty):
     assert language_id.predict(empty, language_id.train(empty, learn), ~learn).collect() == []
 
 
+def test_language_does_not_learn_from_other_rows(spark, real):
+    """Held-out texts and rows without a language have no effect: the model stays the same to the last bit."""
+    learn = blocks.crc_mod(F.col("doc_id"), 4) != 2
+    unlabelled = F.col("doc_id") % 7 == 0
+    before = real.withColumn("lang", F.when(~unlabelled, F.col("lang")))
+    hidden = ~learn | unlabelled
+    after = before.withColumn("text", F.when(hidden, F.lit("zq xj zq wholly other words 漢字")).otherwise(F.col("text")))
+    after = after.withColumn("lang", F.when(~learn, F.lit("xx")).otherwise(F.col("lang")))
+    one, two = language_id.train(before, learn), language_id.train(after, learn)
+    assert one.languages == two.languages and one.temperature == two.temperature
+    assert (one.idf == two.idf).all() and (one.weights == two.weights).all()
+
+
+def test_language_sample_holds_rare_languages():
+    shares = language_id.sample_shares({"en": 1_000_000, "de": 50_000, "rare": 40}, 10_000)
+    assert shares["rare"] == 1 and 40 + 50_000 * shares["de"] + 1_000_000 * shares["en"] == pytest.approx(10_000)
+    assert 50_000 * shares["de"] == pytest.approx(1_000_000 * shares["en"])
+
+
+def test_language_scores_are_calibrated(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("text", F.substring("text", 1, 12))
+    learn = blocks.crc_mod(F.col("doc_id"), 4) != 2
+    model = language_id.train(docs, learn)
+    rows = language_id.predict(docs, model, ~learn).join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang_pred <> 'und'").collect()
+    sure = [r for r in rows if r.score > 0.9]
+    assert model.temperature > 2e-4 and len(rows) > 200
+    assert abs(np.mean([r.score for r in rows]) - np.mean([r.lang == r.lang_pred for r in rows])) < 0.06
+    assert np.mean([r.lang == r.lang_pred for r in sure]) > 0.9
+
+
+def test_ftrl_equals_a_plain_loop():
+    rng = np.random.default_rng(0)
+    s = language_id.ftrl.Settings(alpha=0.5, beta=1.0, l1=0.02, l2=0.1, epochs=2)
+    rows = [(np.sort(rng.choice(12, 4, replace=False)).astype(np.int32), rng.normal(size=4), int(rng.integers(3))) for _ in range(40)]
+    z, n = np.zeros((12, 3)), np.zeros((12, 3))
+    weight = lambda i, c: 0.0 if abs(z[i, c]) <= s.l1 else (math.copysign(s.l1, z[i, c]) - z[i, c]) / ((s.beta + math.sqrt(n[i, c])) / s.alpha + s.l2)
+    for places, values, label in rows * s.epochs:
+        w = {(i, c): weight(i, c) for i in places for c in range(3)}
+        score = [sum(v * w[i, c] for i, v in zip(places, values)) for c in range(3)]
+        p = np.exp(score) / np.exp(score).sum()
+        for i, v in zip(places, values):
+            for c in range(3):
+                g = v * (p[c] - (c == label))
+                z[i, c] += g - (math.sqrt(n[i, c] + g * g) - math.sqrt(n[i, c])) / s.alpha * w[i, c]
+                n[i, c] += g * g
+    expected = np.array([[weight(i, c) for c in range(3)] for i in range(12)])
+    assert language_id.ftrl.fit_rows(rows, 12, 3, s) == pytest.approx(expected, abs=1e-12)
+
+
 def test_temperature_calibrates():
     rng = np.random.default_rng(0)
     scores = rng.normal(size=(4000, 3))
@@ -363,6 +478,20 @@ def test_tool_calls(spark):
     assert tool_calls.formatted(calls.limit(0), results.limit(0), tools).collect() == []
 
 
+def test_tool_calls_with_ties_and_without_a_conversation(spark):
+    calls = spark.createDataFrame(
+        [(None, 0, "a", "t", "{}", None, 1), (None, 1, "b", "t", "{}", ["a"], 2), (None, 2, "c", "t", "{}", ["b"], 3), (1, 0, "x", "t", '{"k":1}', None, 4), (1, 0, "x", "t", "{}", None, 5), (1, 0, "x", "t", "{}", None, 6)],
+        "conv_id long, turn long, id string, name string, arguments string, after array<string>, status long",
+    )
+    results = spark.createDataFrame([(1, 3, "x", "r"), (1, 3, "x", "q"), (None, 5, "b", "r")], "conv_id long, turn long, id string, content string").withColumns({"json": F.lit(1), "layer": F.lit(9)})
+    tools = spark.createDataFrame([("t", [], {"k": "integer"})], "name string, required array<string>, properties map<string,string>")
+    got = tool_calls.formatted(calls, results, tools).collect()
+    assert {r.id: r.layer for r in got if r.conv_id is None and r.kind == "call"} == {"a": 0, "b": 1, "c": 2}
+    assert Counter(r.status for r in got if r.conv_id == 1 and r.kind == "call") == {"linked": 1, "repeated": 2}
+    assert {(r.status, r.json) for r in got if r.conv_id == 1 and r.kind == "result"} == {("linked", '{"content":"q","role":"tool","tool_call_id":"x"}'), ("repeated", '{"content":"r","role":"tool","tool_call_id":"x"}')}
+    assert [r.status for r in got if r.conv_id is None and r.kind == "result"] == ["linked"]
+
+
 def test_pipeline_stages_keep_columns_and_clean_documents(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     columns, before = docs.columns, docs.count()
