@@ -36,8 +36,9 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, as pieces of sequences of 1024 tokens."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    """What is left, as pieces of sequences of 1024 tokens, with their ids."""
+    added = packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), with_ids=True, added=added)
 
 
 STAGES = [

@@ -12,7 +12,7 @@ from sluiceway.operators.sinks import land_jsonl, materialise
 from sluiceway.session import scratch_path
 from sluiceway.sources.envelope import to_raw_envelope
 from sluiceway.sources.files import load_raw, load_raw_records, scan_batch
-from sluiceway.sources.paged_api import PER_PAGE, api_records, scan_pages, unpack_pages
+from sluiceway.sources.paged_api import PER_PAGE, unpack_pages
 
 
 def raw_envelope_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,43 +69,6 @@ def page_unpack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unpack_pages(pages.select("page", body.alias("body"))).select("page", row.alias("r")).select("page", "r.*")
 
 
-def _stored_page(folder: str):
-    """Fetcher of pages that lie as text files in a folder each."""
-
-    def fetch(url: str, params: dict, timeout: float) -> str:
-        from pyarrow import fs
-
-        store, path = fs.FileSystem.from_uri(folder)
-        found = store.get_file_info(fs.FileSelector(f"{path}/page={params['page'] - 1}", allow_not_found=True))
-        for file in found:
-            if file.is_file and not file.base_name.startswith(("_", ".")):
-                with store.open_input_stream(file.path) as stream:
-                    return stream.read().decode("utf-8")
-        return '{"items": []}'
-
-    return fetch
-
-
-def paged_api_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as one stored page per 100 keys; each request opens its own page alone."""
-    last = table(spark, sf_dir, "customer").agg(F.max("c_custkey")).first()[0]
-    pages = 0 if last is None else last // PER_PAGE + 1
-    folder = scratch_path(spark, "pages")
-    bodies = _pages(spark, sf_dir, "c_name", "c_mktsegment")
-    bodies = bodies.select("page", F.to_json(F.struct(F.col("found").alias("items"))).alias("body"))
-    bodies.write.partitionBy("page").text(folder)
-    body = scan_pages(
-        spark,
-        "customers",
-        _stored_page(folder),
-        pages=pages,
-        partitions=spark.sparkContext.defaultParallelism,
-        requestsPerSecond=1e6,
-    )
-    row = F.from_json("payload", "c_name string, c_mktsegment string")
-    return api_records(body, "customers").select("id", "source", row.alias("r")).select("id", "source", "r.*")
-
-
 def validate_dedupe_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate(table(spark, sf_dir, "documents").select("text", "lang"))
 
@@ -149,7 +112,6 @@ QUERIES = {
     "raw_union_by_name": raw_union_by_name,
     "land_and_load": land_and_load,
     "page_unpack": page_unpack,
-    "paged_api_source": paged_api_source,
     "validate_dedupe_nulls": validate_dedupe_nulls,
     "validation_counts": validation_counts,
     "flatten_payload": flatten_events,
@@ -174,8 +136,6 @@ ORACLES = {
         FROM supplier""",
     "page_unpack": """
         SELECT CAST(c_custkey // 100 AS BIGINT) AS page, c_custkey AS id, c_name, c_acctbal FROM customer""",
-    "paged_api_source": """
-        SELECT CAST(c_custkey AS VARCHAR) AS id, 'customers' AS source, c_name, c_mktsegment FROM customer""",
     "validate_dedupe_nulls": """
         SELECT DISTINCT text, lang FROM documents WHERE text IS NOT NULL OR lang IS NOT NULL""",
     "validation_counts": """

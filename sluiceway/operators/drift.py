@@ -374,12 +374,12 @@ def chi2_tests(
 ) -> DataFrame:
     """column, test, statistic, p_value, drift_detected for the text columns.
 
-    With `most_share`, only columns with at most so many categories per reference row.
+    With `most_share`, columns with more categories per reference row are listed as not tested: their p-value
+    and decision are null.
     """
-    found = chi2_statistics(reference, current, columns)
-    scored = (found if most_share is None else found.where(F.col("ref_share") <= most_share)).withColumn(
-        "p_value", chi2_p_value(F.col("chi2"), F.col("categories") - 1)
-    )
+    scored = chi2_statistics(reference, current, columns).withColumn("p_value", chi2_p_value(F.col("chi2"), F.col("categories") - 1))
+    if most_share is not None:
+        scored = scored.withColumn("p_value", F.when(F.col("ref_share") <= most_share, F.col("p_value")))
     return scored.select(
         "column",
         F.lit("chi2").alias("test"),
@@ -390,9 +390,14 @@ def chi2_tests(
 
 
 def report_from_tests(tests: DataFrame, drift_share: float = TEST_DRIFT_SHARE) -> DataFrame:
-    """Report over per-column tests; details hold the p-values."""
+    """Report over per-column tests; details hold the p-values, null for columns that were not tested.
+
+    The score is the share of the tested columns; where columns are there but none was tested, score and
+    decision are null rather than "no drift".
+    """
     hit = F.col("drift_detected")
-    share = F.count_if(hit) / F.greatest(F.count(F.lit(1)), F.lit(1))
+    none_tested = (F.count("drift_detected") == 0) & (F.count(F.lit(1)) > 0)
+    share = F.when(~none_tested, F.count_if(hit) / F.greatest(F.count("drift_detected"), F.lit(1)))
     return tests.agg(
         share.alias("drift_score"),
         F.array_sort(F.collect_list(F.when(hit, F.col("column")))).alias("drifted_columns"),
@@ -409,8 +414,8 @@ def report_from_tests(tests: DataFrame, drift_share: float = TEST_DRIFT_SHARE) -
 def check_drift(reference: DataFrame, current: DataFrame, method: str = "tests", **psi_options) -> DataFrame:
     """Drift report by two-sample tests, or by the stability index when asked or when no column can be tested.
 
-    Text columns of ids or free text (CATEGORY_SHARE) are left out: new values are no drift there. Name
-    such columns in `chi2_tests` to test them all the same. Without comparable columns nothing drifts.
+    Text columns of ids or free text (CATEGORY_SHARE) are listed as not tested: new values are no drift
+    there. Name such columns in `chi2_tests` to test them all the same. Without comparable columns nothing drifts.
     """
     if method == "tests":
         numeric = shared_numeric_columns(reference, current)
@@ -436,7 +441,11 @@ def retrain_decision(
     `feedback_rows` is a number or a scalar subquery (`counted.scalar()`).
     """
     rows = F.lit(feedback_rows) if isinstance(feedback_rows, int) else feedback_rows
-    seen = report.select("dataset_drift", "drift_score", rows.alias("feedback_rows"))
+    seen = report.select(
+        F.coalesce("dataset_drift", F.lit(False)).alias("dataset_drift"),
+        F.coalesce("drift_score", double_lit(0.0)).alias("drift_score"),
+        rows.alias("feedback_rows"),
+    )
     score = F.format_string("%.3f", F.col("drift_score"))
     count = F.col("feedback_rows").cast("string")
     by_drift = F.col("dataset_drift") & (F.col("drift_score") >= double_lit(min_score))

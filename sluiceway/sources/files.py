@@ -55,11 +55,11 @@ def load_raw(
     spark: SparkSession,
     path: str,
     json_schema: T.StructType | None = None,
-    exclude: tuple[str, ...] = ("feedback",),
+    exclude: tuple[str, ...] = (),
 ) -> DataFrame:
     """All JSON-lines and Parquet rows below a path as one table, matched by column name.
 
-    Folders named in `exclude` are left out. JSON types are inferred unless a schema is given; the raw
+    Every file counts, whatever its folder; those below folders named in `exclude` are left out. JSON types are inferred unless a schema is given; the raw
     zone's own files are read with `RAW_RECORD` (see `load_raw_records`).
     """
     frames = [
@@ -69,18 +69,23 @@ def load_raw(
     return _union([f if f is None else _outside(f, exclude, path) for f in frames], path)
 
 
-def load_raw_records(spark: SparkSession, path: str, exclude: tuple[str, ...] = ("feedback",)) -> DataFrame:
+def load_raw_records(spark: SparkSession, path: str, exclude: tuple[str, ...] = ()) -> DataFrame:
     """The envelopes of the raw zone; a nested payload object is read as its JSON text."""
     return load_raw(spark, path, RAW_RECORD, exclude)
 
 
 def _outside(df: DataFrame, folders: tuple[str, ...], root: str) -> DataFrame:
-    """Rows of files in none of the folders; only what lies below the scanned root counts."""
-    jvm_path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(root)
-    system = jvm_path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
-    base = re.sub(r"^\w+:/+", "/", system.makeQualified(jvm_path).toUri().toString()).rstrip("/")
+    """Rows of files in none of the folders; only what lies below the scanned root counts.
+
+    File names are complete and escaped, the root may be neither: it is looked for as a part of the name.
+    """
+    if not folders:
+        return df
+    base = "/" + re.sub(r"^\w+:/*|^(\./)+", "", root).strip("/") + "/"
     full = F.regexp_replace("_metadata.file_path", r"^\w+:/+", "/")
-    file = F.when(full.startswith(f"{base}/"), F.substring(full, len(base) + 1, 1 << 30)).otherwise(full)
+    full = F.coalesce(F.try_url_decode(F.regexp_replace(full, r"\+", "%2B")), full)
+    at = F.locate(base, full)
+    file = F.when(at > 0, F.substr(full, at + F.lit(len(base) - 1))).otherwise(full)
     for folder in folders:
         df = df.where(~file.contains(f"/{folder}/"))
     return df

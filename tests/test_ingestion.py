@@ -80,11 +80,12 @@ def test_raw_zone_round_trip_and_union_by_name(spark, tmp_path):
     )
     (tmp_path / "raw" / "feedback").mkdir()
     (tmp_path / "raw" / "feedback" / "f.jsonl").write_text('{"id":"no"}\n')
-    rows = load_raw_records(spark, raw).collect()
+    rows = load_raw_records(spark, raw, exclude=("feedback",)).collect()
     assert sorted(r.id for r in rows) == ["1", "1", "2", "2", "9"]
+    assert load_raw_records(spark, raw).count() == 6
     assert [json.loads(r.payload) for r in rows if r.id == "9"] == [{"a": {"b": 1}}]
     spark.createDataFrame([(5, 1.5)], "id int, z double").write.parquet(f"{raw}/two")
-    merged = load_raw(spark, raw)
+    merged = load_raw(spark, raw, exclude=("feedback",))
     assert {"id", "payload", "z"} <= set(merged.columns) and merged.count() == 6
     with pytest.raises(FileNotFoundError):
         load_raw(spark, str(tmp_path / "nothing"))
@@ -268,4 +269,6 @@ def test_only_folders_below_the_root_are_excluded(spark, tmp_path):
     root = tmp_path / "feedback" / "raw zone"
     spark.createDataFrame([(1,), (2,)], "id long").write.parquet(str(root / "a"))
     spark.createDataFrame([(3,)], "id long").write.parquet(str(root / "feedback"))
-    assert sorted(r.id for r in load_raw(spark, str(root)).collect()) == [1, 2]
+    assert sorted(r.id for r in load_raw(spark, str(root), exclude=("feedback",)).collect()) == [1, 2]
+    assert sorted(r.id for r in load_raw(spark, f"file://{root}/", exclude=("feedback",)).collect()) == [1, 2]
+    assert sorted(r.id for r in load_raw(spark, str(root)).collect()) == [1, 2, 3]

@@ -285,7 +285,14 @@ def test_drift_without_comparable_columns_and_of_ids(spark):
     ref = spark.createDataFrame([(f"r{i}", "ab"[i % 2]) for i in range(40)], "id string, c string")
     cur = spark.createDataFrame([(f"c{i}", "ab"[i % 2]) for i in range(40)], "id string, c string")
     row = check_drift(ref, cur).first()
-    assert (row.dataset_drift, row.drifted_columns, set(row.details)) == (False, [], {"c"})
+    assert (row.dataset_drift, row.drifted_columns, set(row.details), row.details["id"]) == (False, [], {"c", "id"}, None)
+    # A column with nearly a category per row is listed as not tested; with no other column there is no decision.
+    few = spark.createDataFrame([("a",), ("b",), ("a",)], "c string")
+    row = check_drift(few, spark.createDataFrame([("z",)] * 50, "c string")).first()
+    assert (row.dataset_drift, row.drift_score, row.drifted_columns, row.details) == (None, None, [], {"c": None})
+    assert tuple(retrain_decision(check_drift(few, few), 3).first()) == (False, "No trigger (drift=0.000, feedback=3)")
+    row = check_drift(few.union(few).union(few), spark.createDataFrame([("z",)] * 50, "c string")).first()
+    assert (row.dataset_drift, row.drifted_columns) == (True, ["c"])
     other = cur.toDF("x", "y")
     for method in ("psi", "tests"):
         row = check_drift(ref, other, method).first()
