@@ -80,22 +80,21 @@ def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> np.ndarray
 
 
 _SEEDS = textscan.mix(np.arange(1, SEEDS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+_LAST = np.array([LEVELS - 1 if not i else LEVELS - i.bit_length() for i in range(1 << LEVELS)], dtype=np.int64)
 
 
 def subset_hashes(terms: np.ndarray) -> np.ndarray:
     """16-bit hash of the terms that each subset keeps, (levels, seeds); 0 where it keeps none."""
-    sums = np.zeros((LEVELS, SEEDS), dtype=np.uint64)
-    filled = np.zeros((LEVELS, SEEDS), dtype=bool)
+    parts = []
     for part in range(0, len(terms), 1 << 14):
         at = textscan.mix(terms[part : part + (1 << 14), None] ^ _SEEDS[None, :])
-        seed = np.broadcast_to(np.arange(SEEDS), at.shape).ravel()
-        at = at.ravel()
-        for level in range(LEVELS):
-            if level:
-                keep = at < np.uint64(1 << (64 - level))
-                at, seed = at[keep], seed[keep]
-            np.add.at(sums[level], seed, textscan.mix(at))
-            filled[level] |= np.bincount(seed, minlength=SEEDS) > 0
+        last = _LAST[(at >> np.uint64(64 - LEVELS)).astype(np.int64)]  # the sparsest subset that keeps the term
+        cell = (last * SEEDS + np.arange(SEEDS)).ravel()
+        halves = ((at >> np.uint64(32)).ravel(), (at & np.uint64(0xFFFFFFFF)).ravel())
+        parts.append([np.bincount(cell, x, LEVELS * SEEDS) for x in (*halves, np.ones(len(cell)))])  # exact: below 2^53
+    high, low, n = (sum(x).reshape(LEVELS, SEEDS)[::-1].cumsum(axis=0)[::-1] for x in zip(*parts, strict=True))
+    sums = (high.astype(np.uint64) << np.uint64(32)) + low.astype(np.uint64)
+    filled = n > 0
     short = (textscan.mix(sums) >> np.uint64(48)).astype(">u2")
     return np.where(filled, np.maximum(short, 1), 0).astype(">u2")
 
