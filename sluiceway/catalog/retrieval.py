@@ -14,6 +14,7 @@ from sluiceway.operators.requests import (
 )
 from sluiceway.operators.retrieval import append_vectors, hash_embedding, nearest, searchable, with_passages
 from sluiceway.operators.sinks import append_feedback
+from sluiceway.operators.vector_index import build_index, nearest_indexed
 from sluiceway.plans.question_answering import prompts_for
 from sluiceway.schemas import FEEDBACK_RECORD
 from sluiceway.session import scratch_path
@@ -30,6 +31,18 @@ def topk_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def indexed_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As topk_retrieval, over a stored index of the vectors with a passage."""
+    path = scratch_path(spark, "index")
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    passages = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+    build_index(searchable(vectors, passages), path)
+    hits = nearest_indexed(spark, vectors.withColumnRenamed("vec_id", "query_id"), path)
+    return with_passages(hits, passages).select(
+        "query_id", "rank", "vec_id", rounded("distance"), rounded("score"), F.length("text").alias("passage_chars")
+    )
+
+
 def rag_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document short enough to be a question, answered from the passages nearest to its vector."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -128,6 +141,7 @@ def feedback_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "topk_retrieval": topk_retrieval,
+    "indexed_retrieval": indexed_retrieval,
     "rag_prompt": rag_prompt,
     "text_retrieval": text_retrieval,
     "vector_store": vector_store,
@@ -207,3 +221,4 @@ ORACLES = {
                (SELECT count(*) FROM events) AS feedback_rows
         FROM events GROUP BY 1""",
 }
+ORACLES["indexed_retrieval"] = ORACLES["topk_retrieval"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Callable, Iterator
 
@@ -9,11 +10,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.ml.feature import CountVectorizerModel, Normalizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from sluiceway.functions.text import context_block, prompt_text, words
+from sluiceway.functions.text import context_block, prompt_text
 from sluiceway.functions.vector import l2_normalise, similarity
 from sluiceway.operators.ranking import exact_positions
 
@@ -27,16 +26,34 @@ TILE_CELLS = 4_000_000
 # ---- embedding ----------------------------------------------------------------------------------
 
 
+# Words whose places a task remembers at most.
+KNOWN_WORDS = 1_000_000
+
+
 def hash_embedding(df: DataFrame, text: str = "text", dimensions: int = 256, output: str = "embedding") -> DataFrame:
-    """Default embedding: hashed word counts, as a unit vector.
+    """Default embedding: hashed word counts, as a unit vector; without words, or text, all zeros.
 
-    A word's place is the number of its MD5's first eight hex digits, modulo `dimensions`; other engines can rebuild it.
+    A word's place is the number of its MD5's first eight hex digits, modulo `dimensions`; other engines can
+    rebuild it. A task hashes each distinct word once.
     """
-    place = lambda w: F.pmod(F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint"), F.lit(dimensions)).cast("string")
-    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(dimensions)], inputCol="_words", outputCol="_tf")
-    counted = counter.transform(df.withColumn("_words", F.transform(words(F.lower(F.col(text))), place)))
-    unit = Normalizer(inputCol="_tf", outputCol="_unit").transform(counted)
-    return unit.withColumn(output, vector_to_array("_unit", "float32")).drop("_words", "_tf", "_unit")
+
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known: dict[str, int] = {}
+        for batch in batches:
+            found = [x.split() if x else [] for x in batch]  # Python's white space is that of BETWEEN_WORDS
+            flat = [w for own in found for w in own]
+            if len(known) > KNOWN_WORDS:
+                known.clear()
+            for w in set(flat) - known.keys():
+                known[w] = int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % dimensions
+            row = np.repeat(np.arange(len(found)), [len(own) for own in found])
+            place = np.fromiter(map(known.__getitem__, flat), dtype=np.int64, count=len(flat))
+            counts = np.bincount(row * dimensions + place, minlength=len(found) * dimensions).reshape(-1, dimensions).astype(np.float64)
+            norms = np.sqrt((counts * counts).sum(axis=1))
+            yield pd.Series(list((counts / np.where(norms == 0, 1, norms)[:, None]).astype(np.float32)))
+
+    return df.withColumn(output, embed(F.lower(F.col(text))))
 
 
 def embed_with(

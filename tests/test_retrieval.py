@@ -23,6 +23,8 @@ from sluiceway.operators.retrieval import (
     searchable,
     with_passages,
 )
+from sluiceway.operators import vector_index
+from sluiceway.operators.vector_index import build_index, nearest_indexed
 from sluiceway.plans.question_answering import prompts_for
 
 
@@ -162,3 +164,50 @@ def test_record_quarantine(spark):
     df = spark.createDataFrame(rows, "id string, source string, timestamp timestamp, payload string")
     good, bad = quarantine_records(df)
     assert [r.id for r in good.collect()] == ["1"] and sorted(r.problem for r in bad.collect()) == ["id", "payload", "timestamp"]
+
+
+@pytest.mark.parametrize("shape", ["clusters", "noise", "copies"])
+def test_indexed_search_equals_exhaustive_search(spark, tmp_path, shape):
+    draw = np.random.default_rng(5)
+    corpus = draw.normal(size=(700, 6))
+    if shape == "clusters":
+        corpus = corpus * 0.03 + draw.normal(size=(9, 6))[draw.integers(9, size=700)]
+    if shape == "copies":
+        corpus[:300] = corpus[7]
+    queries = np.concatenate([corpus[::50], draw.normal(size=(10, 6))])
+    asked, held = vectors(spark, queries, "query_id"), vectors(spark, corpus).repartition(4)
+    build_index(held, str(tmp_path), sample_rows=200)
+    for k, part_bytes in [(1, 1 << 20), (7, 500), (900, 1 << 20)]:
+        got = {tuple(r)[:3] for r in nearest_indexed(spark, asked, str(tmp_path), k, part_bytes).collect()}
+        assert got == {tuple(r)[:3] for r in nearest(asked, held, k).collect()}
+
+
+def test_indexed_search_skips_cells_and_has_no_exchange_below(spark, tmp_path, monkeypatch):
+    draw = np.random.default_rng(6)
+    corpus = draw.normal(size=(2000, 4)) * 0.01 + draw.normal(size=(20, 4))[draw.integers(20, size=2000)]
+    build_index(vectors(spark, corpus), str(tmp_path), cells=20)
+    looked, real = [], vector_index._lookers
+    monkeypatch.setattr(vector_index, "_lookers", lambda pairs: looked.append(pairs.mean()) or real(pairs))
+    hits = nearest_indexed(spark, vectors(spark, corpus[:40], "query_id"), str(tmp_path), 3)
+    assert hits.count() == 120 and max(looked) < 0.3
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Exchange" not in plan[plan.index("MapInArrow") :]
+
+
+def test_indexed_search_of_text_ids_and_of_nothing(spark, tmp_path):
+    corpus = spark.createDataFrame([("b", [1.0, 0.0]), ("a", [1.0, 0.0]), ("c", [0.0, 1.0]), ("n", None)], "vec_id string, embedding array<float>")
+    asked = spark.createDataFrame([("q", [2.0, 0.1]), ("null", None)], "query_id string, embedding array<float>")
+    build_index(corpus, str(tmp_path / "i"))
+    got = nearest_indexed(spark, asked, str(tmp_path / "i"), 2).orderBy("rank").collect()
+    assert [(r.query_id, r["rank"], r.vec_id) for r in got] == [("q", 1, "a"), ("q", 2, "b")]
+    assert nearest_indexed(spark, asked.limit(0), str(tmp_path / "i")).collect() == []
+    build_index(corpus.limit(0), str(tmp_path / "none"))
+    assert nearest_indexed(spark, asked, str(tmp_path / "none")).collect() == []
+    with pytest.raises(ValueError, match="length"):
+        build_index(corpus.union(spark.createDataFrame([("z", [1.0])], corpus.schema)), str(tmp_path / "bad"))
+
+
+def test_default_embedding_of_odd_texts(spark):
+    df = spark.createDataFrame([("A a b\u00a0c\x1cd",), ("",), (None,), (" \n",)], "text string")
+    rows = [r.embedding for r in hash_embedding(df, dimensions=16).collect()]
+    assert sum(x * x for x in rows[0]) == pytest.approx(1) and all(not any(r) and len(r) == 16 for r in rows[1:])
