@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sluiceway.functions.columns import quoted, valid_double
@@ -21,9 +23,9 @@ from sluiceway.session import to_scratch_table
 BRACKET_ROWS = 200_000
 # Bins per range and round of a search.
 ZOOM_BINS = 1024
-# Spark's own bound for limiting ranks before a shuffle, and the salts used beyond it.
+# Spark's own bound for limiting ranks before a shuffle, and the tasks whose rows are merged at once beyond it.
 GROUP_LIMIT = 1000
-SALTS = 64
+MERGED_TASKS = 256
 # Hex digits of a digest.
 DIGEST_DIGITS = 32
 
@@ -67,21 +69,44 @@ def exact_positions(
     )
 
 
-def first_per_group(df: DataFrame, group: str, order: list[Column], n: int, salt_by: str) -> DataFrame:
+def first_per_group(df: DataFrame, group: str, order: list[Column], n: int) -> DataFrame:
     """The first `n` rows of each group in an order.
 
-    Up to GROUP_LIMIT rows Spark applies the limit in every task before its shuffle. For more, rows
-    are first limited within the salts of a group, so a hot group is never one task either.
+    Every task sends at most `n` rows of a group. Up to GROUP_LIMIT Spark's rank limit does that by itself;
+    beyond it the rows are sorted where they are and cut after `n` of a group. What MERGED_TASKS tasks
+    sent of a group is then cut again before all of a group's rows meet, so a hot group is never one
+    task's work either.
     """
 
     def limited(rows: DataFrame, keys: list[str]) -> DataFrame:
         place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
         return rows.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
 
-    if n > GROUP_LIMIT:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(SALTS)))
-        df = limited(salted, [group, "_salt"]).drop("_salt")
-    return limited(df, [group])
+    if n <= GROUP_LIMIT:
+        return limited(df, [group])
+    tasks = F.floor(F.spark_partition_id() / MERGED_TASKS)
+    sorted_ = df.withColumn("_tasks", tasks).sortWithinPartitions(group, *order)
+    return limited(limited(sorted_.mapInArrow(_first_of_runs(group, n), sorted_.schema), [group, "_tasks"]).drop("_tasks"), [group])
+
+
+def _first_of_runs(group: str, n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of rows sorted by `group`, the first `n` of each; a run may go over many batches."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, seen = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            coded = batch[group].dictionary_encode(null_encoding="encode")
+            code = coded.indices.to_numpy()
+            begin = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+            place = np.arange(len(code)) - np.repeat(begin, np.diff(np.append(begin, len(code))))
+            if coded.dictionary[int(code[0])].as_py() == last and seen:
+                place[: begin[1] if len(begin) > 1 else len(code)] += seen
+            last, seen = coded.dictionary[int(code[-1])].as_py(), int(place[-1]) + 1
+            yield batch.filter(pa.array(place < n))
+
+    return cut
 
 
 def overlapping_chunks(df: DataFrame, position: str, size: int, overlap: int, chunk: str = "chunk") -> DataFrame:

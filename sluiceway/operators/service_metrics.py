@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import bisect
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sluiceway.functions.clock import seconds_between
 from sluiceway.functions.columns import percent_text, quoted, short_decimal
@@ -43,8 +47,8 @@ def service_snapshot(
     """Totals over the whole log and latency figures over its last `window` rows, per group or overall.
 
     Uptime is the span of the log unless given. The last rows are found by a top-k (overall) or by
-    a rank limit that each task applies before the shuffle (per group), so a hot group sends at most
-    `window` rows per task. An empty log gives a row of zeros when ungrouped.
+    a limit that each task applies before the shuffle (per group), so a hot group sends at most
+    `window` rows per task, whatever `window` is. An empty log gives a row of zeros when ungrouped.
     """
     up = F.lit(float(uptime_seconds)) if uptime_seconds is not None else F.coalesce(
         seconds_between(F.min(quoted(ts)), F.max(quoted(ts))), F.lit(0.0)
@@ -61,7 +65,7 @@ def service_snapshot(
         seen = log.agg(*totals).select("*", recent.scalar().alias("recent"))
         keys = []
     else:
-        last = first_per_group(log.select(group, latency, ts, seq), group, recency, window, seq)
+        last = first_per_group(log.select(group, latency, ts, seq), group, recency, window)
         recent = last.groupBy(group).agg(figures)
         seen = log.groupBy(group).agg(*totals).join(recent, group)
         keys = [group]
@@ -94,6 +98,32 @@ def check_alerts(
     )
 
 
+def rolling_figures(values: np.ndarray, window: int) -> list[np.ndarray]:
+    """Mean and percentiles over the last `window` values at every value.
+
+    The window's values are kept in order from row to row: one value goes out and one comes in at a place found by bisection.
+    """
+    n = np.minimum(np.arange(1, len(values) + 1), window)
+    at = [np.minimum((n * p / 100).astype(np.int64), n - 1).tolist() for p in PERCENTILES]
+    full = max(0, len(values) - window + 1)
+    sums = np.cumsum(values[: len(values) - full])
+    if full:
+        sums = np.concatenate([sums, np.lib.stride_tricks.sliding_window_view(values, window).sum(axis=1)])
+    found = [[0.0] * len(values) for _ in PERCENTILES]
+    plain = not np.isnan(values).any()  # a NaN is the largest value and has no place among the others
+    numbers, held = values.tolist(), []
+    for i, x in enumerate(numbers):
+        if plain:
+            if i >= window:
+                del held[bisect.bisect_left(held, numbers[i - window])]
+            bisect.insort(held, x)
+        else:
+            held = np.sort(values[max(0, i - window + 1) : i + 1])
+        for out, place in zip(found, at, strict=True):
+            out[i] = held[place[i]]
+    return [sums / n, *map(np.array, found)]
+
+
 def rolling_latency(
     log: DataFrame,
     group: str,
@@ -107,7 +137,8 @@ def rolling_latency(
 
     The frame counts rows, so rows are first numbered within their group by the range-partitioned
     rank and then worked on in chunks of consecutive rows; the tail of a chunk is repeated as history
-    of the next. A hot group is as many tasks as it has chunks.
+    of the next. A hot group is as many tasks as it has chunks. Inside a chunk the window moves on row by row
+    (`rolling_figures`): nothing is collected or sorted anew for a row.
     """
     size = max(chunk_rows or 8 * window, window)
     numbered = exact_positions(
@@ -116,12 +147,19 @@ def rolling_latency(
         [ts, seq],
     )
     chunks = overlapping_chunks(numbered, "pos", size, window - 1)
-    frame = Window.partitionBy(group, "chunk").orderBy("pos").rowsBetween(1 - window, 0)
-    return (
-        chunks.withColumn("_held", F.collect_list("_v").over(frame))
-        .where("home")
-        .select(group, ts, seq, *window_figures(F.col("_held")))
-    )
+    names = ["mean_ms", *[f"p{p}_ms" for p in PERCENTILES]]
+    schema = T.StructType([*log.select(group, ts, seq).schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
+
+    def rolled(table: pa.Table) -> pa.Table:
+        table = table.sort_by("pos").combine_chunks()
+        home = pa.array(table["home"].to_numpy())
+        figures = rolling_figures(table["_v"].to_numpy(), window)
+        out = table.select([group, ts, seq])
+        for name, x in zip(names, figures, strict=True):
+            out = out.append_column(name, pa.array(x))
+        return out.filter(home)
+
+    return chunks.groupBy(group, "chunk").applyInArrow(rolled, schema)
 
 
 def status_counts(log: DataFrame, status: str = "status") -> DataFrame:

@@ -77,7 +77,7 @@ def keep_last_rows(log: DataFrame, path: str, checkpoint: str, window: int = WIN
     )
 
     def merged(batch: DataFrame, held: DataFrame) -> DataFrame:
-        return first_per_group(batch.unionByName(held), "service", [F.desc("ts"), F.desc("seq")], window, "seq")
+        return first_per_group(batch.unionByName(held), "service", [F.desc("ts"), F.desc("seq")], window)
 
     return _replace_by_batch(rows, path, checkpoint, "append", merged)
 
@@ -85,7 +85,7 @@ def keep_last_rows(log: DataFrame, path: str, checkpoint: str, window: int = WIN
 def rolling_snapshot(spark: SparkSession, path: str, window: int = WINDOW) -> DataFrame:
     """service, mean and percentiles over its last `window` rows of those held."""
     return (
-        first_per_group(_newest(spark, path), "service", [F.desc("ts"), F.desc("seq")], window, "seq")
+        first_per_group(_newest(spark, path), "service", [F.desc("ts"), F.desc("seq")], window)
         .groupBy("service")
         .agg(F.collect_list("latency").alias("held"))
         .select("service", *window_figures(F.col("held")))

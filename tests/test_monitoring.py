@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sluiceway.operators import drift, ranking
+from sluiceway.operators import drift, ranking, service_metrics
 from sluiceway.operators.drift import (
     check_drift,
     chi2_statistics,
@@ -88,13 +88,51 @@ def test_snapshot_per_service(spark):
     assert (rows["a"].mean_ms, rows["a"].total_requests, rows["b"].error_rate, rows["b"].p99_ms) == (7.5, 10, 1.0, 5.0)
 
 
-def test_long_windows_are_limited_within_salts_first(spark, monkeypatch):
+def test_long_windows_are_limited_where_the_rows_are(spark, monkeypatch):
     log = log_of(spark, range(200), service="a").unionByName(log_of(spark, [1.0, 2.0], service="b"))
     expected = [tuple(r) for r in service_snapshot(log, group="service", window=30).orderBy("service").collect()]
     monkeypatch.setattr(ranking, "GROUP_LIMIT", 3)
     assert [tuple(r) for r in service_snapshot(log, group="service", window=30).orderBy("service").collect()] == expected
 
 
+def test_any_number_of_last_rows_sends_that_many_per_task(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    draw = random.Random(2)
+    rows = [(draw.choice(["hot", "hot", "hot", "b", None]), draw.choice([None, *range(40)]), i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "g string, o int, i int").repartition(6)
+    order = [F.desc("o"), F.asc("i")]
+    expected = {}
+    for g, o, i in sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[2])):
+        expected.setdefault(g, []).append(i)
+    for merged_tasks in (256, 2):
+        monkeypatch.setattr(ranking, "MERGED_TASKS", merged_tasks)
+        for n in (1500, 2):
+            monkeypatch.setattr(ranking, "GROUP_LIMIT", min(1000, n - 1))
+            got = {}
+            for r in ranking.first_per_group(df, "g", order, n).collect():
+                got.setdefault(r.g, set()).add(r.i)
+            assert got == {g: set(ids[:n]) for g, ids in expected.items()}
+    local = df.sortWithinPartitions("g", *order)
+    sent = local.mapInArrow(ranking._first_of_runs("g", 7), local.schema).withColumn("task", F.spark_partition_id())
+    assert sent.groupBy("g", "task").count().agg(F.max("count")).first()[0] <= 7
+
+
+@pytest.mark.parametrize("window", [1, 10, 1000, 5000])
+def test_rolling_figures_equal_windows_sorted_anew(window):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    values = np.round(rng.normal(size=6000 if window > 500 else 300), 1)
+    mean, *parts = service_metrics.rolling_figures(values, window)
+    for i in [0, 1, 5, 99, 299, *([1000, 4999, 5000, 5999] if window > 500 else [])]:
+        held = np.sort(values[max(0, i - window + 1) : i + 1])
+        assert [x[i] for x in parts] == [held[min(int(len(held) * p / 100), len(held) - 1)] for p in (50, 95, 99)]
+        assert mean[i] == pytest.approx(held.mean())
+    odd = service_metrics.rolling_figures(np.array([1.0, np.nan, np.inf, 2.0]), 2)
+    assert np.isnan(odd[3][1]) and odd[3][3] == np.inf and len(service_metrics.rolling_figures(np.zeros(0), 3)[0]) == 0
+
+
 def test_rolling_latency_over_chunks_equals_a_plain_window(spark):
     draw = random.Random(5)
     rows = [
