@@ -30,7 +30,7 @@ from sluiceway.llm import blocks, textscan
 LENGTH = 50
 GRAM = 12
 # Several arrays of the size of a block's words are held at once.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 _NULL_ID = np.iinfo(np.int64).min
 _ASK = "bucket int, block int, hashes binary, least binary, most binary"
 _ANSWER = "block int, bucket int, repeated binary"
