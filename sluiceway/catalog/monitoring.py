@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sluiceway.catalog.base import MEASURES, before_and_after, request_log, rounded, table
 from sluiceway.operators.drift import chi2_tests, drift_report, ks_tests, psi_bins, psi_scores, retrain_decision
+from sluiceway.operators.reference_profile import merge_profiles, store_profile
 from sluiceway.operators.service_metrics import (
     PERCENTILES,
     check_alerts,
@@ -54,6 +55,18 @@ def chi2_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tests.select("column", rounded("statistic"), rounded("p_value"), "drift_detected")
 
 
+def profile_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two halves of the reference lines profiled apart and merged; the current lines against the stored profile."""
+    lines = table(spark, sf_dir, "lineitem").select("l_shipdate", "l_linenumber", *MEASURES, "l_returnflag")
+    reference, current = before_and_after(lines, "l_shipdate")
+    base = scratch_path(spark, "profiles")
+    parts = [store_profile(reference.where(half), f"{base}/{i}", [*MEASURES, "l_returnflag"]) for i, half in enumerate(("l_linenumber <= 2", "l_linenumber > 2"))]
+    profile = merge_profiles(parts, f"{base}/all")
+    scores = profile.psi_scores(current).select("column", F.lit("psi").alias("test"), F.col("psi").alias("statistic"))
+    tests = profile.tests(current).select("column", "test", "statistic")
+    return scores.unionByName(tests).select("column", "test", rounded("statistic"))
+
+
 def retrain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels stand for the feedback collected."""
     report = drift_report(psi_scores(*_lines(spark, sf_dir), MEASURES))
@@ -190,6 +203,7 @@ QUERIES = {
     "psi_dataset": psi_dataset,
     "ks_drift": ks_drift,
     "chi2_drift": chi2_drift,
+    "profile_drift": profile_drift,
     "retrain_decision": retrain,
     "saved_report": saved_report,
     "retrain_trigger": retrain_trigger,
@@ -348,3 +362,15 @@ ORACLES["retrain_trigger"] = f"""
         SELECT CASE WHEN flag AND score >= 0.25 THEN printf('Dataset drift detected (score=%.3f)', score)
                     ELSE printf('Feedback threshold reached (%d samples)', f) END AS reason
         FROM seen, range(2) t(attempt) WHERE (flag AND score >= 0.25) OR (f >= 1 AND attempt = 0)"""
+ORACLES["profile_drift"] = f"""
+        WITH {_PSI},
+        vals AS (SELECT col, v, count(*) FILTER (WHERE is_ref) AS r, count(*) FILTER (WHERE NOT is_ref) AS c FROM long GROUP BY col, v),
+        cum AS (SELECT col, sum(r) OVER w AS ur, sum(c) OVER w AS uc, sum(r) OVER (PARTITION BY col) AS nr, sum(c) OVER (PARTITION BY col) AS nc
+                FROM vals WINDOW w AS (PARTITION BY col ORDER BY v)),
+        flags AS (SELECT l_returnflag AS v, count(*) FILTER (WHERE l_shipdate < TIMESTAMP '1998-06-01') AS r,
+                         count(*) FILTER (WHERE l_shipdate >= TIMESTAMP '1998-06-01') AS c
+                  FROM lineitem WHERE l_returnflag IS NOT NULL GROUP BY 1),
+        expected AS (SELECT c, r / sum(r) OVER () * sum(c) OVER () AS e FROM flags)
+        SELECT col AS "column", 'psi' AS test, round(psi, 6) AS statistic FROM psi
+        UNION ALL SELECT col, 'ks', round(max(abs(ur / nr - uc / nc)), 6) FROM cum GROUP BY col
+        UNION ALL SELECT 'l_returnflag', 'chi2', round(sum(CASE WHEN e = 0 THEN 'inf'::DOUBLE ELSE (c - e) * (c - e) / e END), 6) FROM expected"""

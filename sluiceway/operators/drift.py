@@ -7,7 +7,7 @@ import warnings
 
 import pandas as pd
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from sluiceway.functions.columns import double_lit, quoted, valid_double
 from sluiceway.operators.ranking import ValueRange, equal_width_bin, finite_double, long_values
@@ -25,6 +25,9 @@ TEST_P_VALUE = 0.05
 TEST_DRIFT_SHARE = 0.5
 
 KS_BINS = 256
+# Parts of a bin that is opened again, and the most distinct values that are ranked in one window.
+KS_CUTS = 32
+KS_WINDOW_ROWS = 1_000_000
 # Text columns with more categories than this share of their reference rows are ids or free text.
 CATEGORY_SHARE = 0.5
 
@@ -39,10 +42,10 @@ def shared_numeric_columns(reference: DataFrame, current: DataFrame) -> list[str
 
 
 def _both(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
-    """The compared columns of both tables, told apart by `is_ref`."""
+    """The compared columns of both tables, told apart by `_is_ref`."""
     wanted = [quoted(c) for c in columns]
-    return reference.select(F.lit(True).alias("is_ref"), *wanted).unionByName(
-        current.select(F.lit(False).alias("is_ref"), *wanted)
+    return reference.select(F.lit(True).alias("_is_ref"), *wanted).unionByName(
+        current.select(F.lit(False).alias("_is_ref"), *wanted)
     )
 
 
@@ -53,20 +56,21 @@ def _psi_ranges(both: DataFrame, columns: list[str]) -> list[tuple[ValueRange, s
     """(reference range, status, reference rows, current rows) per column, from one aggregate."""
     aggs = []
     for c in columns:
-        ref = F.when(F.col("is_ref"), valid_double(c))
-        aggs += [F.min(ref), F.max(ref), F.count(ref), F.count(F.when(~F.col("is_ref"), valid_double(c)))]
+        ref = F.when(F.col("_is_ref"), valid_double(c))
+        aggs += [F.min(ref), F.max(ref), F.count(ref), F.count(F.when(~F.col("_is_ref"), valid_double(c)))]
     row = list(both.agg(*[a.alias(f"a{i}") for i, a in enumerate(aggs)]).first())
-    found = []
-    for i, c in enumerate(columns):
-        low, high, n_ref, n_cur = row[4 * i : 4 * i + 4]
-        if not n_ref:
-            status, low, high = "empty_reference", 0.0, 0.0
-        elif math.isinf(low) or math.isinf(high):
-            status, low, high = "infinite_reference", 0.0, 0.0
-        else:
-            status = "constant_reference" if low == high else "ok"
-        found.append((ValueRange(c, low, high), status, n_ref, n_cur))
-    return found
+    return [psi_range(c, *row[4 * i : 4 * i + 4]) for i, c in enumerate(columns)]
+
+
+def psi_range(column: str, low: float, high: float, n_ref: int, n_cur: int) -> tuple[ValueRange, str, int, int]:
+    """Range and status of one column from the reference's extremes and both row counts."""
+    if not n_ref:
+        status, low, high = "empty_reference", 0.0, 0.0
+    elif math.isinf(low) or math.isinf(high):
+        status, low, high = "infinite_reference", 0.0, 0.0
+    else:
+        status = "constant_reference" if low == high else "ok"
+    return ValueRange(column, low, high), status, n_ref, n_cur
 
 
 def psi_bins(reference: DataFrame, current: DataFrame, columns: list[str] | None = None, buckets: int = PSI_BUCKETS) -> DataFrame:
@@ -81,9 +85,28 @@ def psi_bins(reference: DataFrame, current: DataFrame, columns: list[str] | None
         return reference.sparkSession.createDataFrame([], _PSI_BINS)
     both = _both(reference, current, columns)
     fitted = _psi_ranges(both, columns)
-    usable = [f for f in fitted if f[1] == "ok"]
+    values = long_values(both, [f[0] for f in fitted if f[1] == "ok"], F.col("_is_ref")) if any(f[1] == "ok" for f in fitted) else None
+    counts = values and values.groupBy("r", psi_place(buckets).alias("bin")).agg(
+        F.count_if(F.col("_is_ref")).alias("n_ref"), F.count_if(~F.col("_is_ref")).alias("n_cur")
+    )
+    return psi_grid(reference.sparkSession, fitted, counts, buckets)
+
+
+def psi_place(buckets: int) -> Column:
+    """The bin, from 1, of v between low and high."""
     low, width = F.col("low"), (F.col("high") - F.col("low")) / buckets
-    v, near = F.col("v"), F.col("near")
+    v, near = F.col("v"), equal_width_bin(buckets)
+    # The division may land one bin off; the edges decide.
+    return (
+        F.when((v <= low + near * width) & (near > 0), near)
+        .when((v > low + (near + 1) * width) & (near < buckets - 1), near + 2)
+        .otherwise(near + 1)
+    )
+
+
+def psi_grid(spark: SparkSession, fitted: list[tuple[ValueRange, str, int, int]], counts: DataFrame | None, buckets: int) -> DataFrame:
+    """Every bin of every column with its counts (r, bin, n_ref, n_cur); r numbers the usable columns first."""
+    ordered = [f for f in fitted if f[1] == "ok"] + [f for f in fitted if f[1] != "ok"]
     spans = [
         F.struct(
             F.lit(i).alias("r"),
@@ -92,31 +115,18 @@ def psi_bins(reference: DataFrame, current: DataFrame, columns: list[str] | None
             F.lit(n_ref).cast("bigint").alias("ref_rows"),
             F.lit(n_cur).cast("bigint").alias("cur_rows"),
         )
-        for i, (x, status, n_ref, n_cur) in enumerate(usable + [f for f in fitted if f[1] != "ok"])
+        for i, (x, status, n_ref, n_cur) in enumerate(ordered)
     ]
     every_bin = F.when(F.col("status") == "ok", F.sequence(F.lit(1), F.lit(buckets))).otherwise(F.array(F.lit(0)))
     scaffold = (
-        reference.sparkSession.range(1)
+        spark.range(1)
         .select(F.explode(F.array(*spans)).alias("s"))
         .select("s.*")
         .withColumn("bin", F.explode(every_bin))
     )
-    if not usable:
-        return scaffold.select("*", F.lit(0).cast("bigint").alias("n_ref"), F.lit(0).cast("bigint").alias("n_cur"))
-    counts = (
-        long_values(both, [f[0] for f in usable], F.col("is_ref"))
-        .withColumn("near", equal_width_bin(buckets))
-        # The division may land one bin off; the edges decide.
-        .withColumn(
-            "bin",
-            F.when((v <= low + near * width) & (near > 0), near)
-            .when((v > low + (near + 1) * width) & (near < buckets - 1), near + 2)
-            .otherwise(near + 1),
-        )
-        .groupBy("r", "bin")
-        .agg(F.count_if(F.col("is_ref")).alias("n_ref"), F.count_if(~F.col("is_ref")).alias("n_cur"))
-    )
     zero = F.lit(0).cast("bigint")
+    if counts is None:
+        return scaffold.select("*", zero.alias("n_ref"), zero.alias("n_cur"))
     return scaffold.join(counts, ["r", "bin"], "left").select(
         "r",
         "column",
@@ -148,7 +158,11 @@ def psi_scores(
     A current column without values scores 0. A reference column that is empty, constant or infinite
     has no bins: its psi is null and the status says why.
     """
-    bins = psi_bins(reference, current, columns, buckets)
+    return psi_from_bins(psi_bins(reference, current, columns, buckets), floor_actual)
+
+
+def psi_from_bins(bins: DataFrame, floor_actual: bool = False) -> DataFrame:
+    """The scores from the rows of `psi_bins`."""
     # Bins of an unusable or empty column have no shares.
     e = F.when(F.col("ref_rows") > 0, F.col("n_ref") / F.col("ref_rows"))
     a = F.when(F.col("cur_rows") > 0, F.col("n_cur") / F.col("cur_rows"))
@@ -180,89 +194,160 @@ def drift_report(
 # ---- two-sample tests ---------------------------------------------------------------------------
 
 
-def ks_statistics(reference: DataFrame, current: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def _tally() -> list[Column]:
+    return [F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")]
+
+
+def ks_statistics(
+    reference: DataFrame, current: DataFrame, columns: list[str] | None = None, window_rows: int = KS_WINDOW_ROWS
+) -> DataFrame:
     """Exact two-sample Kolmogorov-Smirnov statistic per numeric column: column, ref_rows, cur_rows, ks.
 
-    Three passes, none of which shuffles the table. Approximate quantiles cut each column into KS_BINS
-    bins of similar size, whatever its shape. Counting rows per bin gives the distance of the two
-    distributions at the bin borders and an upper bound inside each bin. Only bins whose bound exceeds
-    the largest border distance are opened: their values, with copies combined map-side, are ranked bin
-    by bin on top of the counts before the bin.
+    Approximate quantiles cut each column into KS_BINS bins of similar size, whatever its shape. Counting rows
+    per bin gives the distance of the two distributions at the bin borders and an upper bound inside each bin.
+    Only bins whose bound exceeds the largest border distance are opened, see `ks_from_bins`.
     """
     columns = shared_numeric_columns(reference, current) if columns is None else columns
     if not columns:
         return reference.sparkSession.createDataFrame([], _KS)
     both = _both(reference, current, columns).select(
-        "is_ref", *[finite_double(c).alias(f"v{i}") for i, c in enumerate(columns)]
+        "_is_ref", *[finite_double(c).alias(f"v{i}") for i, c in enumerate(columns)]
     )
     shares = [k / KS_BINS for k in range(1, KS_BINS)]
     borders = both.stat.approxQuantile([f"v{i}" for i in range(len(columns))], shares, 1 / (8 * KS_BINS))
-    splits = [[-math.inf, *(sorted(set(q)) or [0.0]), math.inf] for q in borders]
+    values = ks_values(both, [ks_splits(q) for q in borders])
+    return ks_from_bins(values.groupBy("r", "bin").agg(*_tally()), values, columns, window_rows)
+
+
+def ks_splits(borders: list[float]) -> list[float]:
+    """Bin borders for `ks_values`; a column without values has one border."""
+    return [-math.inf, *(sorted(set(borders)) or [0.0]), math.inf]
+
+
+def ks_values(both: DataFrame, splits: list[list[float]]) -> DataFrame:
+    """r, bin, v, n_ref, n_cur: each value of the columns v0, v1, ... in its bin, counted for the table it is of."""
     binned = Bucketizer(
         splitsArray=splits,
-        inputCols=[f"v{i}" for i in range(len(columns))],
-        outputCols=[f"b{i}" for i in range(len(columns))],
+        inputCols=[f"v{i}" for i in range(len(splits))],
+        outputCols=[f"b{i}" for i in range(len(splits))],
         handleInvalid="keep",
     ).transform(both)
     cells = F.array(
         *[
-            F.struct(F.lit(i).alias("r"), F.col(f"b{i}").cast("int").alias("bin"), F.col(f"v{i}").alias("v"))
-            for i in range(len(columns))
+            F.struct(F.lit(i).alias("r"), F.col(f"b{i}").cast("bigint").alias("bin"), F.col(f"v{i}").alias("v"))
+            for i in range(len(splits))
         ]
     )
-    values = binned.select("is_ref", F.explode(cells).alias("c")).select("is_ref", "c.*").where("v is not null")
-    tally = [F.count_if(F.col("is_ref")).alias("n_ref"), F.count_if(~F.col("is_ref")).alias("n_cur")]
-
-    # At most KS_BINS rows per column from here on.
-    column = Window.partitionBy("r")
-    upto = column.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    bins = (
-        values.groupBy("r", "bin")
-        .agg(*tally)
-        .select(
-            "*",
-            F.sum("n_ref").over(upto).alias("upto_ref"),
-            F.sum("n_cur").over(upto).alias("upto_cur"),
-            F.sum("n_ref").over(column).alias("ref_rows"),
-            F.sum("n_cur").over(column).alias("cur_rows"),
-        )
-        .where("ref_rows > 0 and cur_rows > 0")
+    values = binned.select("_is_ref", F.explode(cells).alias("c")).select("_is_ref", "c.*").where("v is not null")
+    return values.select(
+        "r", "bin", "v", F.col("_is_ref").cast("bigint").alias("n_ref"), (~F.col("_is_ref")).cast("bigint").alias("n_cur")
     )
+
+
+def _gap(ref: Column, cur: Column) -> Column:
+    return F.abs(ref / F.col("ref_rows") - cur / F.col("cur_rows"))
+
+
+def _inside() -> Column:
+    """What the distance can reach between the counts before a cell and those up to its end."""
     ref_before, cur_before = F.col("upto_ref") - F.col("n_ref"), F.col("upto_cur") - F.col("n_cur")
-    at_border = F.abs(F.col("upto_ref") / F.col("ref_rows") - F.col("upto_cur") / F.col("cur_rows"))
-    inside = F.greatest(
+    return F.greatest(
         F.col("upto_ref") / F.col("ref_rows") - cur_before / F.col("cur_rows"),
         F.col("upto_cur") / F.col("cur_rows") - ref_before / F.col("ref_rows"),
     )
+
+
+def ks_from_bins(bins: DataFrame, values: DataFrame, columns: list[str], window_rows: int = KS_WINDOW_ROWS) -> DataFrame:
+    """The statistic from counts per bin (r, bin, n_ref, n_cur) and the values of `ks_values`.
+
+    Branch and bound: bins that can beat the best distance are opened, copies combined; what has more than
+    `window_rows` distinct values is cut again by quantiles (`ks_narrowed`), the rest is ranked cell by cell.
+    """
+    # At most KS_BINS rows per column.
+    column = Window.partitionBy("r")
+    upto = column.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    bins = bins.select(
+        "*",
+        F.sum("n_ref").over(upto).alias("upto_ref"),
+        F.sum("n_cur").over(upto).alias("upto_cur"),
+        F.sum("n_ref").over(column).alias("ref_rows"),
+        F.sum("n_cur").over(column).alias("cur_rows"),
+    ).where("ref_rows > 0 and cur_rows > 0")
     # Stored, because both the border distances and the choice of bins to open are read from it.
     bins = to_scratch_table(
-        bins.select("*", F.max(at_border).over(column).alias("border_ks"), inside.alias("inside")), "ks-bins"
+        bins.select("*", F.max(_gap(F.col("upto_ref"), F.col("upto_cur"))).over(column).alias("best"), _inside().alias("inside")),
+        "ks-bins",
     )
-    opened = bins.where("inside > border_ks").select(
-        "r", "bin", ref_before.alias("ref_before"), cur_before.alias("cur_before"), "ref_rows", "cur_rows"
-    )
-    rank = Window.partitionBy("r", "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    gap = F.abs(
-        (F.col("ref_before") + F.sum("n_ref").over(rank)) / F.col("ref_rows")
-        - (F.col("cur_before") + F.sum("n_cur").over(rank)) / F.col("cur_rows")
+    opened = bins.where("inside > best").select(
+        "r",
+        F.col("bin").alias("cell"),
+        (F.col("upto_ref") - F.col("n_ref")).alias("ref_before"),
+        (F.col("upto_cur") - F.col("n_cur")).alias("cur_before"),
+        "ref_rows",
+        "cur_rows",
     )
     # Bounded by KS_BINS rows per compared column.
-    ranked = (
-        values.join(F.broadcast(opened), ["r", "bin"])
-        .groupBy("r", "bin", "v", "ref_before", "cur_before", "ref_rows", "cur_rows")
-        .agg(*tally)
-        .select("r", "ref_rows", "cur_rows", gap.alias("d"))
-    )
+    held = values.withColumnRenamed("bin", "cell").join(F.broadcast(opened.select("r", "cell")), ["r", "cell"])
+    held = to_scratch_table(held.groupBy("r", "cell", "v").agg(*_tally()), "ks-values")
+    ranked, cut = ks_narrowed(held, opened, bins.groupBy("r").agg(F.max("best").alias("best")), window_rows)
+    rank = Window.partitionBy("r", "cell").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    gap = _gap(F.col("ref_before") + F.sum("n_ref").over(rank), F.col("cur_before") + F.sum("n_cur").over(rank))
+    found = cut.unionByName(ranked.select("r", gap.alias("best")))
     names = F.array(*[F.lit(c) for c in columns])
-    return (
-        bins.select("r", "ref_rows", "cur_rows", F.col("border_ks").alias("d"))
-        .unionByName(ranked)
-        .groupBy("r")
-        .agg(F.max("ref_rows").alias("ref_rows"), F.max("cur_rows").alias("cur_rows"), F.max("d").alias("ks"))
-        .select(F.get(names, F.col("r")).alias("column"), "ref_rows", "cur_rows", "ks")
+    best = found.groupBy("r").agg(F.max("best").alias("ks"))
+    return bins.groupBy("r").agg(F.max("ref_rows").alias("ref_rows"), F.max("cur_rows").alias("cur_rows")).join(best, "r").select(
+        F.get(names, F.col("r")).alias("column"), "ref_rows", "cur_rows", "ks"
     )
 
 
+def ks_narrowed(values: DataFrame, cells: DataFrame, best: DataFrame, window_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Cut open cells until each holds at most `window_rows` distinct values.
+
+    values: r, cell, v, n_ref, n_cur with one row per value; cells: r, cell, ref_before, cur_before, ref_rows,
+    cur_rows; best: r, best. Returns the values of the cells left, with their cells' counts, and the best
+    distances at all borders. Each cut value is a cell of its own, so a round always makes cells smaller;
+    cells of one value, and those whose bound does not beat the best distance, are done.
+    """
+    few: list[DataFrame] = []
+    shares = F.array(*[F.lit(k / KS_CUTS) for k in range(1, KS_CUTS)])
+    while True:
+        sizes = to_scratch_table(values.groupBy("r", "cell").agg(F.count(F.lit(1)).alias("size")), "ks-sizes")
+        small = sizes.where(F.col("size") <= window_rows).drop("size")
+        few.append(values.join(small, ["r", "cell"], "left_semi").join(cells, ["r", "cell"]))
+        large = sizes.where(F.col("size") > window_rows).drop("size")
+        if large.isEmpty():
+            break
+        values = values.join(large, ["r", "cell"], "left_semi")
+        cuts = values.groupBy("r", "cell").agg(F.percentile_approx("v", shares, F.lit(16 * KS_CUTS)).alias("cuts"))
+        cuts = to_scratch_table(cuts, "ks-cuts")
+        # Even numbers lie between two cuts, odd ones are the cuts themselves; equal cuts leave numbers out.
+        passed = sum(((F.col("v") >= F.get("cuts", F.lit(k))).cast("int") for k in range(KS_CUTS - 1)), F.lit(0))
+        place = F.col("cell") * (2 * KS_CUTS) + 2 * F.col("passed") - F.array_contains("cuts", F.col("v")).cast("int")
+        values = values.join(cuts, ["r", "cell"]).withColumn("passed", passed)
+        values = to_scratch_table(values.select("r", F.col("cell").alias("parent"), place.alias("cell"), "v", "n_ref", "n_cur"), "ks-values")
+        family = Window.partitionBy("r", "parent").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+        parts = values.groupBy("r", "parent", "cell").agg(*_tally(), F.count(F.lit(1)).alias("size"))
+        parts = parts.join(cells.withColumnRenamed("cell", "parent"), ["r", "parent"]).select(
+            "r", "cell", "size", "n_ref", "n_cur", "ref_rows", "cur_rows",
+            (F.col("ref_before") + F.sum("n_ref").over(family)).alias("upto_ref"),
+            (F.col("cur_before") + F.sum("n_cur").over(family)).alias("upto_cur"),
+        )
+        parts = to_scratch_table(parts.withColumn("inside", _inside()), "ks-cells")
+        reached = parts.select("r", _gap(F.col("upto_ref"), F.col("upto_cur")).alias("best"))
+        best = to_scratch_table(best.unionByName(reached).groupBy("r").agg(F.max("best").alias("best")), "ks-best")
+        # One row per compared column.
+        cells = parts.join(F.broadcast(best), "r").where("size > 1 and inside > best").select(
+            "r", "cell", (F.col("upto_ref") - F.col("n_ref")).alias("ref_before"),
+            (F.col("upto_cur") - F.col("n_cur")).alias("cur_before"), "ref_rows", "cur_rows",
+        )
+        cells = to_scratch_table(cells, "ks-open")
+        values = values.drop("parent").join(cells.select("r", "cell"), ["r", "cell"], "left_semi")
+    ranked = few[0]
+    for more in few[1:]:
+        ranked = ranked.unionByName(more)
+    return ranked, best
+
+
 def ks_p_value(ks: Column, ref_rows: Column, cur_rows: Column) -> Column:
     """Asymptotic p-value: Kolmogorov's series at sqrt(n*m/(n+m)) * ks."""
     x = F.sqrt(ref_rows * cur_rows / (ref_rows + cur_rows)) * ks
@@ -277,8 +362,12 @@ def ks_p_value(ks: Column, ref_rows: Column, cur_rows: Column) -> Column:
 
 def ks_tests(reference: DataFrame, current: DataFrame, columns: list[str] | None = None, p_limit: float = TEST_P_VALUE) -> DataFrame:
     """column, test, statistic, p_value, drift_detected for the numeric columns."""
+    return ks_decisions(ks_statistics(reference, current, columns), p_limit)
+
+
+def ks_decisions(statistics: DataFrame, p_limit: float = TEST_P_VALUE) -> DataFrame:
     p = ks_p_value(F.col("ks"), F.col("ref_rows").cast("double"), F.col("cur_rows").cast("double"))
-    return ks_statistics(reference, current, columns).select(
+    return statistics.select(
         "column", F.lit("ks").alias("test"), F.col("ks").alias("statistic"), p.alias("p_value"), (p < p_limit).alias("drift_detected")
     )
 
@@ -297,16 +386,21 @@ def chi2_statistics(reference: DataFrame, current: DataFrame, columns: list[str]
     if not columns:
         return reference.sparkSession.createDataFrame([], _CHI2)
     both = _both(reference, current, columns)
+    counted = category_cells(both, columns).groupBy("column", "value")
+    return chi2_from_counts(counted.agg(F.count_if(F.col("_is_ref")).alias("n_ref"), F.count_if(~F.col("_is_ref")).alias("n_cur")))
+
+
+def category_cells(df: DataFrame, columns: list[str]) -> DataFrame:
+    """_is_ref, column, value: the present values of the text columns, one row each."""
     cells = F.array(
         *[F.struct(F.lit(c).alias("column"), quoted(c).cast("string").alias("value")) for c in columns]
     )
-    counts = to_scratch_table(
-        both.select("is_ref", F.explode(cells).alias("c"))
-        .where("c.value is not null")
-        .groupBy("c.column", "c.value")
-        .agg(F.count_if(F.col("is_ref")).alias("n_ref"), F.count_if(~F.col("is_ref")).alias("n_cur")),
-        "categories",
-    )
+    return df.select("_is_ref", F.explode(cells).alias("c")).select("_is_ref", "c.*").where("value is not null")
+
+
+def chi2_from_counts(counts: DataFrame) -> DataFrame:
+    """The statistics from column, value, n_ref, n_cur."""
+    counts = to_scratch_table(counts, "categories")
     # One row per compared column.
     totals = counts.groupBy("column").agg(F.sum("n_ref").alias("ref_rows"), F.sum("n_cur").alias("cur_rows"))
     expected = F.col("n_ref") / F.col("ref_rows") * F.col("cur_rows")
@@ -377,7 +471,11 @@ def chi2_tests(
     With `most_share`, columns with more categories per reference row are listed as not tested: their p-value
     and decision are null.
     """
-    scored = chi2_statistics(reference, current, columns).withColumn("p_value", chi2_p_value(F.col("chi2"), F.col("categories") - 1))
+    return chi2_decisions(chi2_statistics(reference, current, columns), p_limit, most_share)
+
+
+def chi2_decisions(statistics: DataFrame, p_limit: float = TEST_P_VALUE, most_share: float | None = None) -> DataFrame:
+    scored = statistics.withColumn("p_value", chi2_p_value(F.col("chi2"), F.col("categories") - 1))
     if most_share is not None:
         scored = scored.withColumn("p_value", F.when(F.col("ref_share") <= most_share, F.col("p_value")))
     return scored.select(
