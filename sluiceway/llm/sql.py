@@ -43,4 +43,69 @@ WITH RECURSIVE crc AS (
 SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM forms f JOIN roots r USING (word)
 """
 
-ORACLES = {"op12_spelling_variants": OP12}
+#: Depths along needs tell circles: seven identifiers have no longer path than six steps.
+OP7 = """
+WITH RECURSIVE rows AS (
+  SELECT conv_id, turn, text AS content, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, role IN ('user', 'system') AS is_call
+  FROM conversations WHERE role IS NOT NULL
+), shaped AS (
+  SELECT conv_id, turn, content, text, n, is_call, CASE WHEN is_call AND n % 11 = 0 THEN NULL ELSE 'c' || (n % 7) END AS id,
+    CASE WHEN is_call AND n % 3 <> 0 THEN 'c' || (n // 7 % 7) END AS need,
+    CASE WHEN n % 5 = 4 THEN 'other' WHEN n % 2 = 0 THEN 'reply' ELSE 'follow' END AS name, n // 5 % 6 AS form
+  FROM rows
+), ends AS (
+  SELECT conv_id, id, min(turn) FILTER (WHERE is_call) AS call_turn, min(turn) FILTER (WHERE NOT is_call) AS result_turn
+  FROM shaped WHERE id IS NOT NULL GROUP BY ALL
+), needs AS (
+  SELECT DISTINCT s.conv_id, s.id, s.need FROM shaped s
+  JOIN ends e ON e.conv_id IS NOT DISTINCT FROM s.conv_id AND e.id = s.need AND e.call_turn IS NOT NULL
+  WHERE s.is_call AND s.id IS NOT NULL
+), walk AS (
+  SELECT DISTINCT conv_id, id, id AS at, 0 AS depth FROM shaped WHERE is_call AND id IS NOT NULL
+  UNION SELECT w.conv_id, w.id, n.need, w.depth + 1 FROM walk w JOIN needs n ON n.conv_id IS NOT DISTINCT FROM w.conv_id AND n.id = w.at WHERE w.depth < 7
+), layers AS (
+  SELECT conv_id, id, CASE WHEN max(depth) < 7 THEN max(depth) END AS layer FROM walk GROUP BY ALL
+), joined AS (
+  SELECT s.*, e.call_turn, e.result_turn, l.layer FROM shaped s
+  LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM s.conv_id AND e.id = s.id
+  LEFT JOIN layers l ON l.conv_id IS NOT DISTINCT FROM s.conv_id AND l.id = s.id AND s.is_call
+)
+SELECT conv_id, turn, CASE WHEN is_call THEN 'call' ELSE 'result' END AS kind, id,
+  CASE WHEN is_call AND call_turn <> turn OR NOT is_call AND result_turn <> turn THEN 'repeated'
+       WHEN call_turn IS NOT NULL AND result_turn IS NOT NULL THEN 'linked' WHEN is_call THEN 'pending' ELSE 'orphan' END AS status,
+  CASE WHEN NOT is_call THEN NULL WHEN form = 3 THEN 'malformed' WHEN name = 'other' THEN 'unknown_tool'
+       WHEN form = 4 OR form = 1 THEN 'missing'
+       WHEN form IN (2, 5) THEN 'mistyped' ELSE 'valid' END AS validity,
+  layer, CASE WHEN NOT is_call AND call_turn IS NOT NULL THEN call_turn ELSE turn END AS anchor,
+  (NOT is_call AND call_turn IS NOT NULL)::INTEGER AS step,
+  CASE WHEN is_call THEN '{"arguments":' || CASE form WHEN 0 THEN '{"text":' || to_json(text)::VARCHAR || ',"turn":' || turn || '}'
+         WHEN 1 THEN '{"turn":' || turn || '}' WHEN 2 THEN '{"text":' || n || ',"turn":' || turn || '}' WHEN 3 THEN 'null' WHEN 4 THEN '{}'
+         ELSE '{"extra":' || n || ',"text":' || to_json(text)::VARCHAR || ',"turn":' || turn || '}' END
+         || ',"id":' || coalesce('"' || id || '"', 'null') || ',"name":"' || name || '"}'
+       ELSE '{"content":' || coalesce(to_json(content)::VARCHAR, 'null') || ',"role":"tool","tool_call_id":"' || id || '"}' END AS json
+FROM joined
+"""
+
+#: Pairs that share a shingle, links by full sets, and everything reachable over links.
+OP8 = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 4 THEN list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))
+    WHEN len(words) >= 1 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle FROM worded
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)
+), reached AS (
+  SELECT x AS doc_id, x AS other FROM links UNION SELECT r.doc_id, l.y FROM reached r JOIN links l ON l.x = r.other
+), components AS (
+  SELECT doc_id, min(other) AS component_id FROM reached GROUP BY 1
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id, coalesce(component_id, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN components USING (doc_id)
+"""
+
+ORACLES = {"op7_tool_calls": OP7, "op8_near_dups": OP8, "op12_spelling_variants": OP12}

@@ -148,14 +148,33 @@ def formatted(calls: DataFrame, results: DataFrame, tools: DataFrame) -> DataFra
 
 
 def from_conversations(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Calls and results in plain conversations: each user turn calls for a reply with its text as argument and needs
-    the calls of its system turns; each other turn is the result of the turn before it."""
-    name = lambda turn: F.concat_ws("-", F.col("conv_id").cast("string"), turn.cast("string"))
-    row = messages.select("conv_id", "turn", "role", "text")
-    calls = row.where(F.col("role").isin("user", "system")).select(
-        "conv_id", "turn", name(F.col("turn")).alias("id"), F.when(F.col("role") == "user", "reply").otherwise("follow").alias("name"),
-        F.to_json(F.struct("text", "turn")).alias("arguments"),
-        F.when((F.col("role") == "user") & (F.col("turn") > 0), F.array(name(F.lit(0)))).alias("after"),
+    """Calls and results read off plain conversations, which hold no tool calls themselves.
+
+    User and system turns are calls, other turns are results; a turn without a role is neither. With n the
+    number of code points of a turn's text (missing: none), c<n mod 7> is the identifier of its call (missing
+    where 11 divides n) or the one its result answers; a call needs c<n div 7 mod 7> unless 3 divides n. The tool
+    is picked by n mod 5, the form of the arguments by n div 5 mod 6: text and turn, the turn alone, a number for
+    the text, the bare text (no JSON), none, or a name too many. So identifiers come back, results have no call,
+    needs run over several turns or in a circle, and arguments break their schemas, all by the texts.
+    """
+    text = F.coalesce("text", F.lit(""))
+    row = messages.select("conv_id", "turn", "role", F.col("text").alias("content"), text.alias("text"), F.length(text).cast("long").alias("n"))
+    n = F.col("n")
+    named = lambda k: F.concat(F.lit("c"), (k % 7).cast("string"))
+    json = lambda *fields: F.to_json(F.struct(*fields))
+    form = F.floor(n / 5) % 6
+    arguments = (
+        F.when(form == 0, json("turn", "text"))
+        .when(form == 1, json("turn"))
+        .when(form == 2, json("turn", n.alias("text")))
+        .when(form == 3, F.col("text"))
+        .when(form == 5, json("turn", "text", n.alias("extra")))
+    )
+    tool = F.when(n % 5 == 4, "other").when(n % 2 == 0, "reply").otherwise("follow")
+    is_call = F.col("role").isin("user", "system")
+    calls = row.where(is_call).select(
+        "conv_id", "turn", F.when(n % 11 != 0, named(n)).alias("id"), tool.alias("name"), arguments.alias("arguments"),
+        F.when(n % 3 != 0, F.array(named(F.floor(n / 7)))).alias("after"),
     )
-    results = row.where(~F.col("role").isin("user", "system")).select("conv_id", "turn", name(F.col("turn") - 1).alias("id"), F.col("text").alias("content"))
+    results = row.where(~is_call).select("conv_id", "turn", named(n).alias("id"), "content")
     return calls, results

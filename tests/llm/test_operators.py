@@ -504,3 +504,18 @@ def test_pipeline_stages_keep_columns_and_clean_documents(spark, data):
 
 def test_every_operator_has_a_query():
     assert {name.split("_")[0] for name in catalog.QUERIES} == {f"op{i}" for i in range(1, 14)}
+
+
+def test_tool_calls_read_off_texts_show_every_case(spark):
+    texts = ["x" * n for n in range(1, 140)]
+    rows = [(n % 9, n, "user" if n % 2 else "assistant", t) for n, t in enumerate(texts)] + [(50, 0, "user", None), (50, 1, None, "no role"), (None, 0, "assistant", "y" * 9)]
+    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    calls, results = tool_calls.from_conversations(messages)
+    tools = spark.createDataFrame(catalog.TOOLS, "name string, required array<string>, properties map<string,string>")
+    got = tool_calls.formatted(calls, results, tools).collect()
+    assert len(got) == len(rows) - 1
+    assert {r.status for r in got} == {"linked", "pending", "orphan", "repeated"}
+    assert {r.validity for r in got if r.kind == "call"} == {"valid", "malformed", "unknown_tool", "missing", "mistyped"}
+    layers = {r.layer for r in got if r.kind == "call" and r.id is not None}
+    assert None in layers and 0 in layers and max(x for x in layers if x is not None) >= 1
+    assert tool_calls.formatted(*tool_calls.from_conversations(messages.limit(0)), tools).collect() == []
