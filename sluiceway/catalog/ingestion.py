@@ -13,6 +13,7 @@ from sluiceway.session import scratch_path
 from sluiceway.sources.envelope import to_raw_envelope
 from sluiceway.sources.files import load_raw, load_raw_records, scan_batch
 from sluiceway.sources.paged_api import PER_PAGE, unpack_pages
+from sluiceway.sources.topic_ledger import OffsetLedger, land_new_messages
 
 
 def raw_envelope_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +108,24 @@ def epoch_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def topic_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a topic of four partitions, landed by three runs of one group whose reads overlap."""
+    events = table(spark, sf_dir, "events").select(
+        F.lit("events").alias("topic"), (F.col("user_id") % 4).cast("int").alias("partition"), F.col("event_id").cast("bigint").alias("offset"),
+        F.col("props").cast("binary").alias("value"), F.col("ts").alias("timestamp"),
+    )
+    high = events.agg(F.max("offset")).first()[0] or 0
+    base = scratch_path(spark, "topic")
+    ledger = OffsetLedger(spark, f"{base}/ledger", "features")
+    for low, upto in ((0, high // 3), (high // 6, 2 * high // 3), (0, high)):
+        land_new_messages(events.where(F.col("offset").between(low, upto)), ledger, f"{base}/raw")
+    landed = spark.read.parquet(f"{base}/raw").groupBy("run", F.get(F.split("source", ":"), F.lit(2)).cast("int").alias("partition"))
+    counted = landed.agg(F.count(F.lit(1)).alias("landed"), F.countDistinct("source").alias("sources"))
+    return ledger.entries().join(counted, ["run", "partition"]).select("run", "partition", "start", "until", "rows", "missing", "landed", "sources")
+
+
 QUERIES = {
+    "topic_batches": topic_batches,
     "raw_envelope_batch": raw_envelope_batch,
     "raw_union_by_name": raw_union_by_name,
     "land_and_load": land_and_load,
@@ -121,6 +139,12 @@ QUERIES = {
 }
 
 ORACLES = {
+    "topic_batches": """
+        WITH e AS (SELECT (user_id % 4)::INTEGER AS p, event_id AS o, max(event_id) OVER () AS high FROM events),
+        b AS (SELECT p, o, CASE WHEN o <= high // 3 THEN 0 WHEN o <= 2 * high // 3 THEN 1 ELSE 2 END AS run FROM e),
+        g AS (SELECT run, p, min(o) AS least, max(o) + 1 AS ends, count(*) AS n FROM b GROUP BY run, p),
+        s AS (SELECT *, coalesce(lag(ends) OVER (PARTITION BY p ORDER BY run), least) AS begins FROM g)
+        SELECT run, p AS "partition", begins AS "start", ends AS "until", n AS "rows", ends - begins - n AS missing, n AS landed, n AS sources FROM s""",
     "raw_envelope_batch": """
         SELECT CAST(o_orderkey AS VARCHAR) AS id, 'orders.parquet' AS source, '1.0' AS schema_version, o_custkey,
                o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority

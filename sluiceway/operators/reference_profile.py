@@ -1,9 +1,9 @@
 """A stored profile of the reference: drift runs against it scan the current table alone.
 
 The profile holds each column's distinct values with their counts. Counts of equal values add up, so profiles of
-parts (days, regions) merge into the profile of the whole without their tables. Beside the values lie what most
-runs need and no more: row counts per bin for the stability index and for the Kolmogorov-Smirnov test. The
-values themselves are only read for bins that can hold the largest distance. Results equal those of
+parts (days, regions) merge into the profile of the whole without their tables. Beside the values lie row counts
+per bin for the stability index and for the Kolmogorov-Smirnov test. The values themselves are only ranked in
+bins that can hold the largest distance. Results equal those of
 `sluiceway.operators.drift` on the two tables.
 
 Tables below the profile's folder: `numbers` (column, bin, v, n), `ks_bins`, `psi_bins` (column, bin, n),
@@ -157,7 +157,7 @@ class ReferenceProfile:
         return drift.psi_from_bins(self.psi_bins(current, columns, buckets), floor_actual)
 
     def ks_statistics(self, current: DataFrame, columns: list[str] | None = None, window_rows: int = drift.KS_WINDOW_ROWS) -> DataFrame:
-        """As `drift.ks_statistics`; stored values are read for the bins that are opened."""
+        """As `drift.ks_statistics`; stored values count where bins are opened."""
         known = self._shared(current, "number", columns)
         if not known:
             return self.spark.createDataFrame([], drift._KS)
