@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluiceway.catalog.base import rounded, table
@@ -15,6 +17,7 @@ from sluiceway.operators.requests import (
 from sluiceway.operators.retrieval import append_vectors, hash_embedding, nearest, searchable, with_passages
 from sluiceway.operators.sinks import append_feedback
 from sluiceway.operators.vector_index import build_index, nearest_indexed
+from sluiceway.operators.vector_store import VectorStore
 from sluiceway.plans.question_answering import prompts_for
 from sluiceway.schemas import FEEDBACK_RECORD
 from sluiceway.session import scratch_path
@@ -75,6 +78,29 @@ def vector_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vector_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three writers at once, each language's documents a batch, embedded on the way in; one batch is brought twice.
+
+    Whose ids come first is open, so ids are shown from the first of their batch on; the totals show that none is double or missing.
+    """
+    store = VectorStore(spark, scratch_path(spark, "store"))
+    documents = table(spark, sf_dir, "documents").withColumn("batch", F.coalesce("lang", F.lit("none")))
+    documents = documents.withColumn("metadata", F.create_map(F.lit("batch"), F.col("batch")))
+    batches = [r.batch for r in documents.select("batch").distinct().orderBy("batch").collect()]
+    with ThreadPoolExecutor(3) as writers:
+        list(writers.map(lambda b: store.append_texts(documents.where(F.col("batch") == b), b, ["doc_id"]), batches))
+    store.append_texts(documents.where(F.col("batch") == batches[0]), batches[0], ["doc_id"])
+    stored = store.read()
+    total = stored.agg(F.countDistinct("vec_id").alias("ids"), F.max("vec_id").alias("last_id"))
+    claimed = store.entries().select(F.col("key").alias("batch"), "first", F.col("rows").alias("batch_rows"))
+    return (
+        stored.withColumn("batch", F.col("metadata")["batch"])
+        .join(F.broadcast(claimed), "batch")  # one row per language
+        .join(F.broadcast(total))  # a single row
+        .select("batch", (F.col("vec_id") - F.col("first")).alias("place"), F.length("text").alias("chars"), "batch_rows", "ids", "last_id")
+    )
+
+
 def vector_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distance of each unit vector to its successor."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", l2_normalise(F.col("embedding")).alias("e"))
@@ -145,6 +171,7 @@ QUERIES = {
     "rag_prompt": rag_prompt,
     "text_retrieval": text_retrieval,
     "vector_store": vector_store,
+    "vector_writers": vector_writers,
     "vector_neighbours": vector_neighbours,
     "argmax_label": argmax_label,
     "predict_request_validation": predict_requests,
@@ -192,6 +219,11 @@ ORACLES = {
         SELECT row_number() OVER (ORDER BY label, vec_id) - 1 AS vec_id, CAST(length(text) AS INTEGER) AS chars,
                1.0::DOUBLE AS norm, 0 AS entries
         FROM embeddings JOIN documents ON doc_id = vec_id""",
+    "vector_writers": """
+        SELECT coalesce(lang, 'none') AS batch, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS place,
+               CAST(length(text) AS INTEGER) AS chars, count(*) OVER (PARTITION BY lang) AS batch_rows,
+               count(*) OVER () AS ids, count(*) OVER () - 1 AS last_id
+        FROM documents""",
     "vector_neighbours": f"""
         WITH {_TOP}
         SELECT query_id AS vec_id, round(d, 6) AS distance FROM near WHERE vec_id = query_id + 1""",
