@@ -138,21 +138,42 @@ def test_quality(spark, edge, empty, real):
     assert quality.score(empty, quality.train(empty, labels, ~held), held).collect() == []
 
 
-def brute_scores(rows, train, mu):
-    c, pairs, texts = Counter(), Counter(), 0
+def brute_model(rows, train, mu):
+    """(counts of words, weight of a word after a history of at most two words, failure arcs included)."""
+    c, pairs, triples, texts = Counter(), Counter(), Counter(), 0
     for r in rows:
         if train(r.doc_id):
             t = [*words(r.text), None]
             c.update(t)
             pairs.update(zip(["^", *t], t))
+            triples.update(zip(["^", *t], t, t[1:]))
             texts += 1
     total, kinds = sum(c.values()), len(c)
+
+    def weight(history, w):
+        if not history:
+            return (c[w] + 0.1) / (total + 0.1 * (kinds + 1))
+        left = pairs[history] if len(history) == 2 else texts if history == ("^",) else c[history[0]]
+        arc = (triples if len(history) == 2 else pairs)[(*history, w)]
+        return (arc + mu * weight(history[1:], w)) / (left + mu)
+
+    return c, weight
+
+
+def brute_scores(rows, train, mu):
+    c, weight = brute_model(rows, train, mu)
     for r in rows:
         t = [*words(r.text), None]
-        p = [(c[w] + 0.1) / (total + 0.1 * (kinds + 1)) for w in t]
-        before = [texts if h == "^" else c[h] for h in ["^", *t[:-1]]]
-        arcs = [pairs[x] for x in zip(["^", *t], t)]
-        yield r.doc_id, len(t), sum(c[w] > 0 for w in t), total, sum(map(math.log10, p)), sum(math.log10((a + mu * q) / (b + mu)) for a, q, b in zip(arcs, p, before))
+        before = ["^", *t]
+        score = sum(math.log10(weight(tuple(before[max(0, i - 1) : i + 1]), w)) for i, w in enumerate(t))
+        yield r.doc_id, len(t), sum(c[w] > 0 for w in t), sum(c.values()), sum(math.log10(weight((), w)) for w in t), score
+
+
+def test_weights_of_every_state_sum_to_one(real):
+    c, weight = brute_model(real.select("doc_id", "text").collect(), lambda i: True, language_model.MU)
+    some = sorted(w for w in c if w)[:: len(c) // 5]
+    for history in [(), ("^",), ("^", some[0]), *[(w,) for w in some], *zip(some, some[1:]), ("not seen", some[1])]:
+        assert sum(weight(history, w) for w in [*c, "not seen"]) == pytest.approx(1, rel=1e-9)
 
 
 @pytest.mark.parametrize("name", ["edge", "real"])
