@@ -116,12 +116,12 @@ def score_texts(docs: DataFrame, train: Column, mu: float = MU, block_bytes: int
     alone) and score.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(train, F.lit(False)).alias("train"))
-    rows, n = blocks.in_blocks(rows, block_bytes=block_bytes)
+    rows, n = blocks.in_compressed_blocks(rows, block_bytes)
 
     def question(table: pa.Table) -> pa.Table:
         block = table["block"][0].as_py()
         out = []
-        for kind, (known, counts) in enumerate(_grams(table), 1):
+        for kind, (known, counts) in enumerate(_grams(blocks.unpacked(table)), 1):
             cut = blocks.cuts(known, n)
             for b, (x, y) in enumerate(zip(cut, cut[1:], strict=False)):
                 if x < y:
@@ -154,6 +154,7 @@ def score_texts(docs: DataFrame, train: Column, mu: float = MU, block_bytes: int
     def read(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.table({name: pa.array([], t) for name, t in _RESULT_TYPES})
+        table = blocks.unpacked(table)
         got = answers.sort_by("bucket")
         n_train, n_types = int(np.sum(got["tokens"].to_numpy())), int(np.sum(got["types"].to_numpy()))
         root = 0.1 * (n_types + 1) + n_train
