@@ -95,6 +95,14 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return hashes[starts], np.add.reduceat(counts, starts)
 
 
+def _found(hashes: np.ndarray, counts: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Counts of n-grams that all are among the hashes; looked up in order, so that memory is read once along."""
+    order = np.argsort(grams)
+    out = np.empty(len(grams), dtype=np.int64)
+    out[order] = counts[np.searchsorted(hashes, grams[order])]
+    return out
+
+
 def _grams(table: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each order the block's distinct n-grams, sorted, with their counts in training texts."""
     train = table["train"].to_numpy()
@@ -166,7 +174,7 @@ def score_texts(docs: DataFrame, train: Column, mu: float = MU, block_bytes: int
         texts = word_counts[np.searchsorted(words, _END)]
         out = []
         for _, tokens, first in _tokens(table):
-            seen = [counts[np.searchsorted(hashes, grams)] for (hashes, counts), grams in zip(known, _ngrams(tokens, first), strict=True)]
+            seen = [_found(*of_order, grams) for of_order, grams in zip(known, _ngrams(tokens, first), strict=True)]
             seen[2][first[:-1]] = 0
             # How often training left each history of one and two words; a text begins in the start state, left once per text.
             left = [None, _carried(seen[0], first, texts), _carried(seen[1], first, 0)]
