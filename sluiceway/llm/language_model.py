@@ -87,12 +87,14 @@ def _ngrams(tokens: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
 
 
 def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct hashes of all parts and their summed counts."""
-    hashes = np.concatenate([h for h, _ in parts])
+    """Sorted distinct hashes of all parts and their summed counts; the parts are given up."""
+    hashes, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+    parts.clear()
     order = np.argsort(hashes)
-    hashes, counts = hashes[order], np.concatenate([c for _, c in parts])[order]
+    hashes, counts = hashes[order], counts[order]
+    del order
     starts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
-    return hashes[starts], np.add.reduceat(counts, starts)
+    return hashes[starts], np.add.reduceat(counts, starts, dtype=np.int64)
 
 
 def _found(hashes: np.ndarray, counts: np.ndarray, grams: np.ndarray) -> np.ndarray:
@@ -113,7 +115,7 @@ def _grams(table: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
             order = np.argsort(grams)
             grams = grams[order]
             starts = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
-            kept.append((grams[starts], np.add.reduceat(learnt[order].astype(np.int64), starts)))
+            kept.append((grams[starts], np.add.reduceat(learnt[order], starts, dtype=np.int32)))
     return [_summed(kept) for kept in parts]
 
 
