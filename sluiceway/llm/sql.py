@@ -108,4 +108,36 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, d.doc_id)
 FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN components USING (doc_id)
 """
 
-ORACLES = {"op7_tool_calls": OP7, "op8_near_dups": OP8, "op12_spelling_variants": OP12}
+#: Passages of 50 words named by digests of 2, 4, 8, 16 and 32 words; a missing id is the least of all, as one document.
+OP6 = r"""
+WITH docs AS (
+  SELECT *, row_number() OVER () AS key FROM (SELECT DISTINCT coalesce(doc_id, -9223372036854775808)::BIGINT AS id, coalesce(text, '') AS text FROM documents)
+), words AS (
+  SELECT id, key, unnest(w) AS word, unnest(range(len(w))) AS place
+  FROM (SELECT id, key, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM docs)
+), w2 AS (
+  SELECT id, key, place, md5(word || ' ' || lead(word) OVER o) AS h2 FROM words WINDOW o AS (PARTITION BY key ORDER BY place)
+), w4 AS (
+  SELECT *, md5(h2 || lead(h2, 2) OVER o) AS h4 FROM w2 WINDOW o AS (PARTITION BY key ORDER BY place)
+), w8 AS (
+  SELECT *, md5(h4 || lead(h4, 4) OVER o) AS h8 FROM w4 WINDOW o AS (PARTITION BY key ORDER BY place)
+), w16 AS (
+  SELECT *, md5(h8 || lead(h8, 8) OVER o) AS h16 FROM w8 WINDOW o AS (PARTITION BY key ORDER BY place)
+), w32 AS (
+  SELECT *, md5(h16 || lead(h16, 16) OVER o) AS h32 FROM w16 WINDOW o AS (PARTITION BY key ORDER BY place)
+), passages AS (
+  SELECT id, key, place, md5(h32 || lead(h16, 32) OVER o || lead(h2, 48) OVER o) AS h FROM w32 WINDOW o AS (PARTITION BY key ORDER BY place)
+), held AS (
+  SELECT h, min(id) AS least FROM passages WHERE h IS NOT NULL GROUP BY h HAVING min(id) < max(id)
+), found AS (
+  SELECT id, key, place, id = least AS first FROM passages JOIN held USING (h)
+), cut AS (
+  SELECT *, CASE WHEN place - lag(place) OVER (PARTITION BY key, first ORDER BY place) <= 50 THEN 0 ELSE 1 END AS opens FROM found
+), islands AS (
+  SELECT *, sum(opens) OVER (PARTITION BY key, first ORDER BY place) AS island FROM cut
+)
+SELECT nullif(id, -9223372036854775808) AS doc_id, min(place) AS start_word, max(place) + 50 AS end_word, first AS first_holder
+FROM islands GROUP BY id, key, first, island
+"""
+
+ORACLES = {"op6_repeated_passages": OP6, "op7_tool_calls": OP7, "op8_near_dups": OP8, "op12_spelling_variants": OP12}
