@@ -6,19 +6,24 @@ at least |d - r| away. Searching takes two scans: the first looks only into the
 until they hold k vectors, which gives a limit that the k-th hit cannot exceed; the second looks at the
 vectors whose bound doesn't exceed it. Queries travel to the vectors in parts of a bounded size; vectors are
 never shuffled or copied for a search.
+
+Where bounds exclude little (noise in many dimensions), every query meets every vector: work that grows with their
+product. A product in single precision then proposes what may be within the limit, distances are computed directly in
+double precision, and the limit falls as a task finds nearer vectors. A task holds a part of the queries, their k best so
+far and as many hits again; the driver holds a part and one bit per query and cell.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from sluiceway.functions.vector import similarity
-from sluiceway.operators.retrieval import TOP_K, _first_k, _hit_batch, _hit_schema, _ids, _matrix, _nearest
+from sluiceway.operators.retrieval import TILE_CELLS, TOP_K, _first_k, _hit_batch, _hit_schema, _ids, _matrix, _nearest
 
 # Centres at most, rows from which they are found at most, and rounds to find them.
 MAX_CELLS = 1024
@@ -26,7 +31,12 @@ SAMPLE_ROWS = 50_000
 ROUNDS = 8
 # Query vectors that travel to the tasks at once.
 PART_BYTES = 64 << 20
+# Rows of a stored file at most; smaller corpora are so many files of so many rows at least, as files are scanned in parallel.
 FILE_ROWS = 200_000
+FILES = 64
+LEAST_FILE_ROWS = 8192
+# Queries whose cells are looked up at once, a multiple of eight.
+LOOKUP_ROWS = 8192
 # Bounds are sums and roots of rounded numbers.
 SLACK = 1e-7
 
@@ -79,7 +89,7 @@ def build_index(corpus: DataFrame, path: str, cells: int | None = None, sample_r
                 yield pa.record_batch([pa.array(cell.astype(np.int32)), pa.array(gap), *batch.columns], ["cell", "gap", "vec_id", "embedding"])
 
     schema = T.StructType([T.StructField("cell", T.IntegerType()), T.StructField("gap", T.DoubleType()), *rows.schema.fields])
-    parts = max(1, math.ceil(count / FILE_ROWS))
+    parts = max(1, math.ceil(count / FILE_ROWS), min(FILES, math.ceil(count / LEAST_FILE_ROWS)))
     laid = rows.mapInArrow(placed, schema).repartitionByRange(parts, "cell", "gap", "vec_id").sortWithinPartitions("cell", "gap", "vec_id")
     laid.write.mode("overwrite").parquet(f"{path}/vectors")
     stored = spark.read.schema(schema).parquet(f"{path}/vectors")
@@ -88,26 +98,100 @@ def build_index(corpus: DataFrame, path: str, cells: int | None = None, sample_r
     spark.createDataFrame(table, "cell int, centre array<double>, n long, low double, high double").coalesce(1).write.mode("overwrite").parquet(f"{path}/cells")
 
 
+class _Best:
+    """The k nearest vectors of each query so far, and the squared distance that a further hit cannot exceed."""
+
+    def __init__(self, limit: np.ndarray, k: int) -> None:
+        self.limit, self.k = limit.copy(), k
+        self.found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.new = 0
+
+    def add(self, query: np.ndarray, vec: np.ndarray, dist: np.ndarray) -> None:
+        if len(query):
+            self.found.append((query, vec, dist))
+            self.new += len(query)
+            if self.new > max(1 << 16, len(self.limit) * self.k):
+                self.settle()
+
+    def settle(self) -> None:
+        if not self.new:
+            return
+        self.found = [_first_k(*(np.concatenate(x) for x in zip(*self.found, strict=True)), self.k)]
+        self.new = 0
+        query, _, dist = self.found[0]
+        last = np.flatnonzero(np.append(query[1:] != query[:-1], True))
+        full = last[np.diff(np.append(-1, last)) == self.k]  # rows go by query and rising distance
+        self.limit[query[full]] = np.minimum(self.limit[query[full]], dist[full])
+
+
+def _raised(queries: np.ndarray) -> np.ndarray:
+    """Queries in single precision with a last 1, for a product with `_lowered` vectors."""
+    return np.concatenate([queries, np.ones((len(queries), 1))], axis=1).astype(np.float32)
+
+
+def _lowered(vectors: np.ndarray) -> np.ndarray:
+    """Vectors in single precision with a last -v.v / 2."""
+    return np.concatenate([vectors, -np.einsum("ij,ij->i", vectors, vectors)[:, None] / 2], axis=1).astype(np.float32)
+
+
+def _within(queries: np.ndarray, raised: np.ndarray, looking: np.ndarray, vectors: np.ndarray, ids: np.ndarray, best: _Best) -> None:
+    """Give `best` the vectors that the `looking` queries, all of finite limits, have within their limits.
+
+    |q - v|^2 <= limit means q.v - v.v / 2 >= (q.q - limit) / 2; the left side is one product, less its rounding.
+    """
+    lowered = _lowered(vectors)
+    slack = 2.0 ** -23 * (queries.shape[1] + 8)
+    tile, step = max(1, TILE_CELLS // len(vectors)), max(1, TILE_CELLS // (4 * queries.shape[1]))
+    for start in range(0, len(looking), tile):
+        own = looking[start : start + tile]
+        q = queries[own]
+        bar = (np.einsum("ij,ij->i", q, q) - best.limit[own]) / 2
+        at = np.flatnonzero(raised[own] @ lowered.T >= (bar - slack).astype(np.float32)[:, None])
+        if len(at) * 16 > len(own) * len(vectors):  # crowded within that rounding
+            exact = q @ vectors.T - np.einsum("ij,ij->i", vectors, vectors)[None, :] / 2
+            at = np.flatnonzero(exact >= bar[:, None] - 1e-9)
+        for s in range(0, len(at), step):
+            qi, vi = np.divmod(at[s : s + step], len(vectors))
+            gap = q[qi] - vectors[vi]
+            dist = np.einsum("ij,ij->i", gap, gap)
+            near = dist <= best.limit[own[qi]]
+            best.add(own[qi[near]], ids[vi[near]], dist[near])
+
+
+def _needed(cells: np.ndarray, gaps: np.ndarray, ids: np.ndarray, embedding: np.ndarray, k: int) -> np.ndarray:
+    """Which rows can be hits: of equal vectors in a row, by rising id, only the first k, as ties go to the smaller id."""
+    same = (cells[1:] == cells[:-1]) & (gaps[1:] == gaps[:-1]) & (ids[1:] >= ids[:-1])
+    same[same] = (embedding[1:][same] == embedding[:-1][same]).all(axis=1)
+    begin = np.flatnonzero(np.append(True, ~same))
+    return np.arange(len(cells)) - np.repeat(begin, np.diff(np.append(begin, len(cells)))) < k
+
+
 def _search(vectors: DataFrame, asked: tuple, k: int, dimensions: int, schema: T.StructType) -> DataFrame:
-    """Hits of one scan. `asked`: query ids, vectors, centres, limits per query, and per cell the queries that look into it."""
+    """Hits of one scan. `asked`: query ids, vectors, centres, limits per query, and per cell the bits of the queries that look into it."""
     spread = vectors.sparkSession.sparkContext.broadcast(asked)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, queries, centres, limit, lookers = spread.value
-        limit, best = limit.copy(), None
+        best, raised = _Best(limit, k), _raised(queries)
+        squares = np.einsum("ij,ij->i", queries, queries)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cells = batch["cell"].to_numpy()
-            gaps, ids = batch["gap"].to_numpy(), _ids(batch["vec_id"])
+            cells, gaps, ids = batch["cell"].to_numpy(), batch["gap"].to_numpy(), _ids(batch["vec_id"])
             embedding = _matrix(batch["embedding"], dimensions)
-            borders = np.flatnonzero(np.append(True, cells[1:] != cells[:-1]))
+            needed = _needed(cells, gaps, ids, embedding, k)
+            if not needed.all():
+                cells, gaps, ids, embedding = cells[needed], gaps[needed], ids[needed], embedding[needed]
+            # A batch may go on in another file, not always the next one in order.
+            borders = np.flatnonzero(np.append(True, (cells[1:] != cells[:-1]) | (gaps[1:] < gaps[:-1])))
             for a, b in zip(borders, np.append(borders[1:], len(cells)), strict=True):
-                looking = lookers.get(int(cells[a]))
-                if looking is None or not len(looking):
+                looking = np.flatnonzero(np.unpackbits(lookers[cells[a]], count=len(queries)))
+                if not len(looking):
                     continue
-                d = np.sqrt(((queries[looking] - centres[cells[a]]) ** 2).sum(axis=1))
-                reach = np.sqrt(limit[looking]) + SLACK
+                centre = centres[cells[a]]
+                along = (queries @ centre)[looking] if len(looking) * 4 > len(queries) else queries[looking] @ centre
+                d = np.sqrt(np.maximum(squares[looking] + centre @ centre - 2 * along, 0))
+                reach = np.sqrt(best.limit[looking]) + SLACK
                 near = (d - gaps[b - 1] <= reach) & (gaps[a] - d <= reach)  # the run's gaps rise
                 looking, d, reach = looking[near], d[near], reach[near]
                 if not len(looking):
@@ -116,15 +200,17 @@ def _search(vectors: DataFrame, asked: tuple, k: int, dimensions: int, schema: T
                 high = a + int(np.searchsorted(gaps[a:b], (d + reach).max(), side="right"))
                 if low >= high:
                     continue
-                q, vec, dist = _nearest(queries[looking], embedding[low:high], ids[low:high], k)
-                part = (looking[q], vec, dist)
-                best = part if best is None else _first_k(*(np.concatenate(x) for x in zip(best, part, strict=True)), k)
-                n = np.bincount(best[0], minlength=len(queries))
-                worst = np.zeros(len(queries))
-                np.maximum.at(worst, best[0], best[2])
-                limit = np.where(n >= k, np.minimum(limit, worst), limit)
-        if best is not None:
-            yield _hit_batch(query_ids, *best)
+                limited = np.isfinite(best.limit[looking])
+                if not limited.all():
+                    free = looking[~limited]
+                    part, vec, dist = _nearest(queries[free], embedding[low:high], ids[low:high], k)
+                    best.add(free[part], vec, dist)
+                    best.settle()
+                if limited.any():
+                    _within(queries, raised, looking[limited], embedding[low:high], ids[low:high], best)
+        best.settle()
+        if best.found:
+            yield _hit_batch(query_ids, *best.found[0])
 
     return vectors.mapInArrow(search, schema)
 
@@ -153,18 +239,15 @@ def nearest_indexed(spark: SparkSession, queries: DataFrame, path: str, top_k: i
             if not len(own):
                 continue
             ids, q = _ids(own["query_id"]), _matrix(own["embedding"], dimensions)
-            d = np.sqrt(np.maximum((q * q).sum(axis=1)[:, None] + (centres * centres).sum(axis=1)[None, :] - 2 * q @ centres.T, 0))
-            order = np.argsort(np.where(size > 0, d, np.inf), axis=1)
-            until = (np.cumsum(size[order], axis=1) >= top_k).argmax(axis=1)
-            until = np.where(size.sum() >= top_k, until, len(cells) - 1)
-            home = np.zeros(d.shape, dtype=bool)
-            home[np.arange(len(q))[:, None], order] = np.arange(len(cells))[None, :] <= until[:, None]
             everything = np.full(len(q), np.inf)
-            first = _search(vectors, (ids, q, centres, everything, _lookers(home)), top_k, dimensions, schema)
+            home = _looked_up(q, centres, lambda d, at: _home_cells(d, size, top_k))
+            first = _search(vectors, (ids, q, centres, everything, home), top_k, dimensions, schema)
             limit = _limits(first, own["query_id"], top_k)
             reach = np.sqrt(limit)[:, None] + SLACK
-            may = (size > 0)[None, :] & (d - high[None, :] <= reach) & (low[None, :] - d <= reach)
-            hits.append(_search(vectors, (ids, q, centres, limit, _lookers(may)), top_k, dimensions, schema))
+            may = _looked_up(
+                q, centres, lambda d, at: (size > 0)[None, :] & (d - high[None, :] <= reach[at]) & (low[None, :] - d <= reach[at])
+            )
+            hits.append(_search(vectors, (ids, q, centres, limit, may), top_k, dimensions, schema))
     found = hits[0] if hits else empty
     for more in hits[1:]:
         found = found.union(more)
@@ -172,8 +255,32 @@ def nearest_indexed(spark: SparkSession, queries: DataFrame, path: str, top_k: i
     return found.withColumn("rank", rank).where(F.col("rank") <= top_k).select("query_id", "rank", "vec_id", "distance", similarity(F.col("distance")).alias("score"))
 
 
-def _lookers(pairs: np.ndarray) -> dict[int, np.ndarray]:
-    return {int(c): np.flatnonzero(pairs[:, c]) for c in np.flatnonzero(pairs.any(axis=0))}
+def _home_cells(d: np.ndarray, size: np.ndarray, k: int) -> np.ndarray:
+    """For queries at distances `d` from the centres, the nearest cells that hold k vectors together."""
+    d = np.where(size > 0, d, np.inf)
+    home = np.zeros(d.shape, dtype=bool)
+    home[np.arange(len(d)), d.argmin(axis=1)] = True
+    more = np.flatnonzero(size[d.argmin(axis=1)] < k)
+    order = np.argsort(d[more], axis=1)
+    until = (np.cumsum(size[order], axis=1) >= k).argmax(axis=1)
+    until = np.where(size.sum() >= k, until, len(size) - 1)
+    home[more[:, None], order] = np.arange(len(size))[None, :] <= until[:, None]
+    return home
+
+
+def _looked_up(queries: np.ndarray, centres: np.ndarray, cells_of: Callable[[np.ndarray, slice], np.ndarray]) -> np.ndarray:
+    """Per cell the bits of the queries that look into it, as `cells_of` has it for the distances of a slice of queries."""
+    bits = []
+    for a in range(0, len(queries), LOOKUP_ROWS):
+        at = slice(a, a + LOOKUP_ROWS)
+        q = queries[at]
+        squares = (q * q).sum(axis=1)[:, None] + (centres * centres).sum(axis=1)[None, :]
+        bits.append(_lookers(cells_of(np.sqrt(np.maximum(squares - 2 * q @ centres.T, 0)), at)))
+    return np.concatenate(bits, axis=1)
+
+
+def _lookers(pairs: np.ndarray) -> np.ndarray:
+    return np.packbits(pairs.T, axis=1)
 
 
 def _limits(hits: DataFrame, ids: pa.ChunkedArray, k: int) -> np.ndarray:

@@ -207,6 +207,38 @@ def test_indexed_search_of_text_ids_and_of_nothing(spark, tmp_path):
         build_index(corpus.union(spark.createDataFrame([("z", [1.0])], corpus.schema)), str(tmp_path / "bad"))
 
 
+def test_indexed_search_over_many_files_and_batches(spark, tmp_path):
+    """Copies and near copies go over several files and Arrow batches; results stay those of the exhaustive search."""
+    draw = np.random.default_rng(8)
+    corpus = draw.normal(size=(20_000, 8))
+    corpus[:9000] = corpus[3]
+    corpus[9000:9500] = corpus[9000] + draw.normal(size=(500, 8)) * 1e-4
+    queries = np.concatenate([corpus[[3, 9000, 9001, 15_000]], draw.normal(size=(60, 8))])
+    asked, held = vectors(spark, queries, "query_id"), vectors(spark, corpus)
+    build_index(held, str(tmp_path))
+    assert spark.read.parquet(f"{tmp_path}/vectors").select("_metadata.file_path").distinct().count() >= 3
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "700")
+    try:
+        got = sorted(tuple(r)[:3] for r in nearest_indexed(spark, asked, str(tmp_path), 4, 1500).collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == sorted(tuple(r)[:3] for r in nearest(asked, held, 4).collect()) and len(got) == 64 * 4
+
+
+def test_queries_of_a_cell_travel_as_bits():
+    pairs = np.random.default_rng(9).random((1001, 30)) < 0.9
+    bits = vector_index._lookers(pairs)
+    assert bits.nbytes == 30 * 126  # not eight bytes for each pair
+    assert all((np.unpackbits(bits[c], count=1001) == pairs[:, c]).all() for c in range(30))
+
+
+def test_copies_beyond_k_are_passed_over():
+    cells, gaps = np.array([0, 0, 0, 0, 1, 1]), np.array([0.5, 0.5, 0.5, 0.6, 0.6, 0.6])
+    embedding = np.array([[1.0, 0], [1, 0], [1, 0], [1, 0], [0, 1], [1, 0]])
+    assert vector_index._needed(cells, gaps, np.arange(6), embedding, 2).tolist() == [True, True, False, True, True, True]
+    assert vector_index._needed(cells, gaps, np.arange(6)[::-1], embedding, 1).all()  # of another file: not by rising id
+
+
 def test_default_embedding_of_odd_texts(spark):
     df = spark.createDataFrame([("A a b\u00a0c\x1cd",), ("",), (None,), (" \n",)], "text string")
     rows = [r.embedding for r in hash_embedding(df, dimensions=16).collect()]
