@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
@@ -26,32 +29,69 @@ TILE_CELLS = 4_000_000
 # ---- embedding ----------------------------------------------------------------------------------
 
 
-# Words whose places a task remembers at most.
-KNOWN_WORDS = 1_000_000
+# Words whose places a task remembers at most, and their characters.
+KNOWN_WORDS = 250_000
+KNOWN_CHARS = 8_000_000
+# Bytes and rows of texts whose words a task holds at once, and words of a longer text.
+SLICE_BYTES = 1 << 20
+SLICE_ROWS = 2048
+SLICE_WORDS = 200_000
+# Python's white space is that of BETWEEN_WORDS.
+_WORD = re.compile(r"\S+")
+
+
+def _text_slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """(place of the first text, texts) for runs of whole texts of at most SLICE_BYTES together; a longer text is alone."""
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64))
+    at = 0
+    while at < len(texts):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")))
+        to = min(to, at + SLICE_ROWS)
+        yield at, texts.slice(at, to - at)
+        at = to
+
+
+def _word_lists(texts: pa.Array) -> Iterator[list[list[str]]]:
+    """The words of each text; those of one longer text come in several lists."""
+    if len(texts) > 1 or not texts[0].is_valid or texts.nbytes <= SLICE_BYTES:
+        yield [x.split() if x else [] for x in texts.to_pylist()]
+        return
+    words = (x.group() for x in _WORD.finditer(texts[0].as_py()))
+    while some := list(islice(words, SLICE_WORDS)):
+        yield [some]
 
 
 def hash_embedding(df: DataFrame, text: str = "text", dimensions: int = 256, output: str = "embedding") -> DataFrame:
     """Default embedding: hashed word counts, as a unit vector; without words, or text, all zeros.
 
     A word's place is the number of its MD5's first eight hex digits, modulo `dimensions`; other engines can
-    rebuild it. A task hashes each distinct word once.
+    rebuild it. A task remembers the places of up to KNOWN_WORDS words, and holds the words of one slice of texts.
     """
 
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known: dict[str, int] = {}
+        chars = 0
         for batch in batches:
-            found = [x.split() if x else [] for x in batch]  # Python's white space is that of BETWEEN_WORDS
-            flat = [w for own in found for w in own]
-            if len(known) > KNOWN_WORDS:
-                known.clear()
-            for w in set(flat) - known.keys():
-                known[w] = int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % dimensions
-            row = np.repeat(np.arange(len(found)), [len(own) for own in found])
-            place = np.fromiter(map(known.__getitem__, flat), dtype=np.int64, count=len(flat))
-            counts = np.bincount(row * dimensions + place, minlength=len(found) * dimensions).reshape(-1, dimensions).astype(np.float64)
-            norms = np.sqrt((counts * counts).sum(axis=1))
-            yield pd.Series(list((counts / np.where(norms == 0, 1, norms)[:, None]).astype(np.float32)))
+            vectors = np.zeros((len(batch), dimensions), dtype=np.float32)
+            for at, texts in _text_slices(batch):
+                counts = np.zeros((len(texts), dimensions))
+                for found in _word_lists(texts):
+                    flat = [w for own in found for w in own]
+                    if len(known) > KNOWN_WORDS or chars > KNOWN_CHARS:
+                        known.clear()
+                        chars = 0
+                    for w in set(flat) - known.keys():
+                        chars += len(w)
+                        known[w] = int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % dimensions
+                    row = np.repeat(np.arange(len(found)), [len(own) for own in found])
+                    place = np.fromiter(map(known.__getitem__, flat), dtype=np.int64, count=len(flat))
+                    counts += np.bincount(row * dimensions + place, minlength=counts.size).reshape(-1, dimensions)
+                norms = np.sqrt((counts * counts).sum(axis=1))
+                vectors[at : at + len(texts)] = counts / np.where(norms == 0, 1, norms)[:, None]
+            borders = np.arange(len(batch) + 1, dtype=np.int32) * dimensions
+            yield pa.ListArray.from_arrays(pa.array(borders), pa.array(vectors.ravel()))
 
     return df.withColumn(output, embed(F.lower(F.col(text))))
 

@@ -1,7 +1,9 @@
 import datetime as dt
+import hashlib
 import json
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,7 +25,7 @@ from sluiceway.operators.retrieval import (
     searchable,
     with_passages,
 )
-from sluiceway.operators import vector_index
+from sluiceway.operators import retrieval, vector_index
 from sluiceway.operators.vector_index import build_index, nearest_indexed
 from sluiceway.plans.question_answering import prompts_for
 
@@ -239,6 +241,30 @@ def test_copies_beyond_k_are_passed_over():
     assert vector_index._needed(cells, gaps, np.arange(6)[::-1], embedding, 1).all()  # of another file: not by rising id
 
 
+def test_default_embedding_holds_the_words_of_a_slice(spark, monkeypatch):
+    texts = ["a b", None, "", "long " * 30 + "x\u00a0y", "c", "d e f"]
+    expected = [(x or "").split() for x in texts]
+    with monkeypatch.context() as small:
+        small.setattr(retrieval, "SLICE_BYTES", 40)
+        small.setattr(retrieval, "SLICE_WORDS", 7)
+        small.setattr(retrieval, "SLICE_ROWS", 2)
+        got, most = [[] for _ in texts], 0
+        for at, some in retrieval._text_slices(pa.array(texts)):
+            assert len(some) <= 2
+            for found in retrieval._word_lists(some):
+                most = max(most, sum(map(len, found)))
+                for i, own in enumerate(found):
+                    got[at + i] += own
+    assert got == expected and most <= 7
+    long = " ".join(f"w{i % 500}" for i in range(300_000))
+    rows = hash_embedding(spark.createDataFrame([(long,), ("w1 W2",), (None,)], "text string").coalesce(1), dimensions=32).collect()
+    counts = np.zeros(32)
+    for w in long.split():
+        counts[int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 32] += 1
+    assert rows[0].embedding == (counts / np.sqrt((counts * counts).sum())).astype(np.float32).tolist()
+    assert sum(x * x for x in rows[1].embedding) == pytest.approx(1) and not any(rows[2].embedding)
+
+
 def test_default_embedding_of_odd_texts(spark):
     df = spark.createDataFrame([("A a b\u00a0c\x1cd",), ("",), (None,), (" \n",)], "text string")
     rows = [r.embedding for r in hash_embedding(df, dimensions=16).collect()]
