@@ -37,8 +37,10 @@ from sluiceway.llm import textscan
 LENGTH = 1024
 PARTITION_BYTES = 64 << 20
 BLOCK_TOKENS = 1 << 20
+# Bytes of whole texts that are encoded at once.
+SLICE_BYTES = 1 << 19
 # Most units that a task remembers; the store is emptied beyond it.
-UNITS = 1_500_000
+UNITS = 500_000
 # Cuts inside sentences are looked at every so many tokens.
 STEP = 64
 
@@ -113,7 +115,7 @@ class UnitEncoder:
         if not len(starts):
             return np.zeros(0, dtype=np.uint16), np.zeros(len(offsets) - 1, dtype=np.int64)
         ends = np.append(starts[1:], len(data))
-        hashes, some, unit = np.unique(textscan.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        hashes, some, unit = np.unique(textscan.span_hashes(data, starts, ends, SLICE_BYTES), return_index=True, return_inverse=True)
         if len(self.known) > UNITS:
             self._forget()
         at = np.searchsorted(self.known, hashes)
@@ -251,7 +253,7 @@ def pack(
 
         for batch in batches:
             names = batch["doc_id"].to_pylist()
-            for at, data, offsets in textscan.slices(batch["text"]):
+            for at, data, offsets in textscan.slices(batch["text"], SLICE_BYTES):
                 ids, counts = encoder.encode(data, offsets)
                 whole = np.zeros(len(ids) + len(counts), dtype=np.uint16)
                 ends = np.cumsum(counts + 1)

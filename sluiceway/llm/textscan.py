@@ -78,9 +78,11 @@ def slices(column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) -> Iter
         at = to
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each byte span. Bytes are summed in windows of `SLICE_BYTES`, so a long text needs no more room than a short one."""
-    width = SLICE_BYTES
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, width: int = SLICE_BYTES) -> np.ndarray:
+    """Hash of each byte span. Bytes are summed in windows of `width`, so a long text needs no more room than a short one.
+
+    The width changes the room for the sums and the table of powers, not the hashes.
+    """
     power, inverse = _powers(width + 1)
     low, high = np.zeros(len(starts), dtype=np.uint64), np.zeros(len(ends), dtype=np.uint64)
     wanted = [(starts, low, _order(starts)), (ends, high, _order(ends))]

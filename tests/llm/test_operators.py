@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -540,3 +541,21 @@ def test_tool_calls_read_off_texts_show_every_case(spark):
     layers = {r.layer for r in got if r.kind == "call" and r.id is not None}
     assert None in layers and 0 in layers and max(x for x in layers if x is not None) >= 1
     assert tool_calls.formatted(*tool_calls.from_conversations(messages.limit(0)), tools).collect() == []
+
+
+def test_packing_encodes_small_slices_and_remembers_few_units(monkeypatch):
+    """Ids do not depend on the slice, the window of the hashes or what is remembered; the room for them does."""
+    draw = np.random.default_rng(4)
+    texts = [" ".join(f"word{i}" for i in draw.integers(3000, size=400)) + " \U0001f600" * (n % 3) for n in range(40)]
+    plain = textscan.slices(pa.array(texts), 1 << 30)
+    _, data, offsets = next(plain)
+    whole, counts = packing.UnitEncoder(VOCABULARY, ADDED).encode(data, offsets)
+    assert packing.SLICE_BYTES <= 1 << 19 and packing.UNITS <= 500_000
+    monkeypatch.setattr(packing, "SLICE_BYTES", 5000)
+    monkeypatch.setattr(packing, "UNITS", 1000)
+    encoder, parts = packing.UnitEncoder(VOCABULARY, ADDED), []
+    for _, some, places in textscan.slices(pa.array(texts), packing.SLICE_BYTES):
+        parts.append(encoder.encode(some, places))
+        assert textscan._powers.size == 5001
+    assert np.array_equal(np.concatenate([p[0] for p in parts]), whole) and np.array_equal(np.concatenate([p[1] for p in parts]), counts)
+    assert len(encoder.known) < 3000
