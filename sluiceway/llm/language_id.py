@@ -71,7 +71,7 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
         at = np.flatnonzero(seen)
         yield pa.record_batch([pa.array(np.append(at, -1), pa.int64()), pa.array(np.append(seen[at], total), pa.int64())], ["place", "n"])
 
-    rows = docs.select("text").mapInArrow(counted, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select("text").mapInArrow(textscan.freeing(counted), "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()
     found = {r.place: r.n for r in rows}
     total = found.pop(-1, 0)
     idf = np.full(1 << BITS, np.log(1.0 + total), dtype=np.float32)
@@ -113,7 +113,7 @@ def train(docs: DataFrame, learn: Column, max_rows: int = MAX_ROWS, settings: ft
             key, label, places, values = zip(*out, strict=True) if out else ((), (), (), ())
             yield pa.record_batch([pa.array(key, pa.int64()), pa.array(label, pa.int32()), pa.array(places, pa.binary()), pa.array(values, pa.binary())], ["key", "label", "places", "values"])
 
-    sample = rows.mapInArrow(made, "key long, label int, places binary, values binary").dropDuplicates(["key"])
+    sample = rows.mapInArrow(textscan.freeing(made), "key long, label int, places binary, values binary").dropDuplicates(["key"])
     sample = sample.withColumn("shard", F.pmod(F.shiftright("key", 8), F.lit(settings.shards(min(n, max_rows)))).cast("int"))
     kept = F.pmod("key", F.lit(10)) == 0
     weights = ftrl.fit(sample.where(~kept), 1 << BITS, len(languages), settings)
@@ -191,7 +191,7 @@ def predict(docs: DataFrame, model: Model, held_out: Column) -> DataFrame:
             yield pa.record_batch([batch["doc_id"], batch["held_out"], pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out.alias("held_out"))
-    return rows.mapInArrow(predicted, SCHEMA)
+    return rows.mapInArrow(textscan.freeing(predicted), SCHEMA)
 
 
 MIN_SCORE = 0.5
@@ -202,9 +202,9 @@ def accepted(docs: DataFrame, model: Model, min_score: float = MIN_SCORE) -> Dat
     spread = docs.sparkSession.sparkContext.broadcast(model)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in textscan.parts(whole)):
             names, scores = identify(batch["text"].to_pylist(), spread.value)
             keep = [name != UNDETERMINED and p >= min_score for name, p in zip(names, scores, strict=True)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return docs.mapInArrow(textscan.freeing(kept), docs.schema)

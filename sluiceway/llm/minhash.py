@@ -51,8 +51,8 @@ def prints(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, data, offsets in textscan.slices(batch["text"]):
-                found, first = textscan.shingles(textscan.words(data, offsets), k)
+            for at, data, offsets in textscan.slices(batch["text"], textscan.SMALL_SLICE_BYTES):
+                found, first = textscan.shingles(textscan.words(data, offsets, textscan.SMALL_SLICE_BYTES), k)
                 own, own_first = textscan.distinct(found, first)
                 node = np.empty((len(first) - 1, 2), dtype=np.uint64)
                 node[:, 0] = textscan.segment_sums(textscan.mix(own), own_first)
@@ -79,7 +79,7 @@ def prints(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
                     ["doc_id", "text_key", "n_shingles", "node", "bands", "lanes"],
                 )
 
-    return rows.mapInArrow(made, PRINTS)
+    return rows.mapInArrow(textscan.freeing(made), PRINTS)
 
 
 def estimate(a: str, b: str) -> Column:
@@ -110,7 +110,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, similarity: int) -> D
                     coded = part[side].dictionary_encode()
                     own = []
                     for _, data, offsets in textscan.slices(coded.dictionary, limit=1 << 30):
-                        values, first = textscan.distinct(*textscan.shingles(textscan.words(data, offsets), k))
+                        values, first = textscan.distinct(*textscan.shingles(textscan.words(data, offsets, textscan.SMALL_SLICE_BYTES), k))
                         own = [values[x:y] for x, y in zip(first[:-1], first[1:], strict=True)]
                     sets.append([own[i] for i in coded.indices.to_pylist()])
                 keep = []
@@ -121,7 +121,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, similarity: int) -> D
                     keep.append(both > 0 and 100 * both >= similarity * (len(x) + len(y) - both))
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return joined.mapInArrow(compared, "a binary, b binary")
+    return joined.mapInArrow(textscan.freeing(compared), "a binary, b binary")
 
 
 def _state(stars: DataFrame) -> tuple:
@@ -161,13 +161,13 @@ def _bounded(members: DataFrame, texts: DataFrame, k: int) -> DataFrame:
 
     def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, data, offsets in textscan.slices(batch["text"]):
-                values, first = textscan.distinct(*textscan.shingles(textscan.words(data, offsets), k))
+            for at, data, offsets in textscan.slices(batch["text"], textscan.SMALL_SLICE_BYTES):
+                values, first = textscan.distinct(*textscan.shingles(textscan.words(data, offsets, textscan.SMALL_SLICE_BYTES), k))
                 of = pa.array(np.repeat(np.arange(at, at + len(first) - 1), np.diff(first)))
                 yield pa.record_batch([pa.array(textscan.signed(values)), batch["node"].take(of)], ["shingle", "node"])
 
     own_texts = texts.join(members.select("node").distinct(), "node", "left_semi").select("text", "node")
-    shingles = own_texts.mapInArrow(exploded, "shingle long, node binary")
+    shingles = own_texts.mapInArrow(textscan.freeing(exploded), "shingle long, node binary")
     single = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1")
     own = single.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
     return members.join(own, "node", "left").withColumn("cap", F.col("size") - F.coalesce("own", F.lit(0))).drop("own")

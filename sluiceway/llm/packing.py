@@ -268,4 +268,4 @@ def pack(
         if held:
             yield settle()
 
-    return placed.mapInArrow(packed, schema)
+    return placed.mapInArrow(textscan.freeing(packed), schema)

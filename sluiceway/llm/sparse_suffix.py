@@ -60,8 +60,8 @@ class _Block:
 
     def __init__(self, table: pa.Table, length: int) -> None:
         parts, counts = [], []
-        for _, data, offsets in textscan.slices(table["text"]):
-            found = textscan.words(data, offsets)
+        for _, data, offsets in textscan.slices(table["text"], textscan.SMALL_SLICE_BYTES):
+            found = textscan.words(data, offsets, textscan.SMALL_SLICE_BYTES)
             parts.append(found.hash)
             counts.append(np.diff(found.first))
         self.words = np.concatenate([*parts, np.zeros(0, dtype=np.uint64)])
@@ -258,7 +258,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, block_bytes: int = BL
     joined = rows.join(spans, ["id", "key"], "left").select("row", "spans", F.col("row.text").alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in textscan.parts(whole)):
             texts, spans = batch["text"].to_pylist(), batch["spans"].to_pylist()
             keep = [True] * len(texts)
             for i, own in enumerate(spans):
@@ -266,7 +266,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, block_bytes: int = BL
                     continue
                 raw = texts[i].encode()
                 data = np.frombuffer(raw, dtype=np.uint8)
-                found = textscan.words(data, np.array([0, len(data)]))
+                found = textscan.words(data, np.array([0, len(data)]), textscan.SMALL_SLICE_BYTES)
                 parts, at = [], 0
                 for span in own:
                     begin, end = int(found.start[span["start"]]), int(found.end[span["end"] - 1])
@@ -276,6 +276,6 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, block_bytes: int = BL
                 keep[i] = bool(texts[i].strip(" \t\n\v\f\r"))
             yield pa.record_batch([batch["row"], pa.array(texts, pa.string())], ["row", "text"]).filter(pa.array(keep, pa.bool_()))
 
-    done = joined.mapInArrow(cut, T.StructType([T.StructField("row", joined.schema["row"].dataType), T.StructField("text", T.StringType())]))
+    done = joined.mapInArrow(textscan.freeing(cut), T.StructType([T.StructField("row", joined.schema["row"].dataType), T.StructField("text", T.StringType())]))
     changed = {"text": F.col("text"), "n_chars": F.when(F.col("row.text").eqNullSafe(F.col("text")), F.col("row.n_chars")).otherwise(F.length("text")) if "n_chars" in docs.columns else None}
     return done.select(*[(changed[c].cast(docs.schema[c].dataType) if changed.get(c) is not None else F.col("row").getField(c)).alias(c) for c in docs.columns])

@@ -9,13 +9,16 @@ Words are `[^\\x20\\x09-\\x0D]+`; A-Z are lower-cased. All bytes concerned are A
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 2 << 20
+# The same for the steps of the pipeline, which share their executors' memory with what earlier ones left.
+SMALL_SLICE_BYTES = 1 << 19
+PART_ROWS = 1000
 _P = 0x9E3779B97F4A7C15
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -23,6 +26,30 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, *range(9, 14)]] = True
 
 
+def freeing(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`work`, a function for mapInArrow, without freed batches left in Arrow's pool.
+
+    Workers outlive their tasks: what the pool keeps counts beside all later stages, also those that run no Python.
+    """
+
+    def freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def taken() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch
+                pa.default_memory_pool().release_unused()
+
+        yield from work(taken())
+        pa.default_memory_pool().release_unused()
+
+    return freed
+
+
+def parts(batch: pa.RecordBatch, rows: int = PART_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of at most `rows` rows, so that what is made of one is small."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every input bit over all output bits."""
     x = x ^ (x >> np.uint64(30))
@@ -142,11 +169,11 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> Words:
+def words(data: np.ndarray, offsets: np.ndarray, width: int = SLICE_BYTES) -> Words:
     starts, ends = runs((~_SPACE[data]).view(np.uint8), offsets)
     first = np.searchsorted(starts, offsets)
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    return Words(span_hashes(_LOWER[data], starts, ends), starts, ends, doc, first)
+    return Words(span_hashes(_LOWER[data], starts, ends, width), starts, ends, doc, first)
 
 
 def windows(hashes: np.ndarray, k: int) -> np.ndarray:

@@ -96,8 +96,8 @@ def _index(items: pa.Table, shortest: int) -> tuple:
     """(item ids, their words, sorted seeds, the item of each seed, items shorter than a seed)."""
     names = items["item_id"].to_pylist()
     sequences = []
-    for _, data, offsets in textscan.slices(items["text"]):
-        found = textscan.words(data, offsets)
+    for _, data, offsets in textscan.slices(items["text"], textscan.SMALL_SLICE_BYTES):
+        found = textscan.words(data, offsets, textscan.SMALL_SLICE_BYTES)
         sequences += [found.hash[a:b] for a, b in zip(found.first[:-1], found.first[1:], strict=True)]
     seeds, owners = [], []
     for i, words in enumerate(sequences):
@@ -114,8 +114,8 @@ def _hits(texts: pa.Array, index: tuple, coverage: float, shortest: int) -> Iter
     """(number of the text, number of the item, tiles) of contaminated texts."""
     names, sequences, seed, owner, small = index
     sizes = np.array([len(x) for x in sequences])
-    for at, data, offsets in textscan.slices(texts):
-        found = textscan.words(data, offsets)
+    for at, data, offsets in textscan.slices(texts, textscan.SMALL_SLICE_BYTES):
+        found = textscan.words(data, offsets, textscan.SMALL_SLICE_BYTES)
         pairs = set()
         if len(seed):
             windows = textscan.windows(found.hash, shortest)
@@ -166,7 +166,7 @@ def _report(spread: Broadcast, coverage: float, shortest: int) -> Callable[[Iter
                 ["doc_id", "text_key", "item_id", "item_words", "covered_words", "tiles"],
             )
 
-    return searched
+    return textscan.freeing(searched)
 
 
 def without_contaminated(
@@ -182,8 +182,9 @@ def without_contaminated(
 def _filter(spread: Broadcast, coverage: float, shortest: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = np.ones(batch.num_rows, dtype=bool)
-            keep[[d for d, _, _ in _hits(batch["text"], spread.value, coverage, shortest)]] = False
-            yield batch.filter(pa.array(keep))
+            for part in textscan.parts(batch):
+                keep = np.ones(part.num_rows, dtype=bool)
+                keep[[d for d, _, _ in _hits(part["text"], spread.value, coverage, shortest)]] = False
+                yield part.filter(pa.array(keep))
 
-    return kept
+    return textscan.freeing(kept)

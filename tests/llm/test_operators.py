@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -559,3 +560,18 @@ def test_packing_encodes_small_slices_and_remembers_few_units(monkeypatch):
         assert textscan._powers.size == 5001
     assert np.array_equal(np.concatenate([p[0] for p in parts]), whole) and np.array_equal(np.concatenate([p[1] for p in parts]), counts)
     assert len(encoder.known) < 3000
+
+
+def test_pipeline_steps_hold_small_parts_and_leave_no_freed_batches(monkeypatch):
+    """Decontamination works and answers in small parts and gives freed batches back, with the rows of the whole batch."""
+    item = " ".join(f"w{i}" for i in range(40))
+    texts = [None if i % 7 == 0 else "" if i % 11 == 0 else f"x{i} " + (item if i % 5 == 0 else f"y{i} z") for i in range(2500)]
+    spread = SimpleNamespace(value=tiling._index(pa.table({"item_id": [0, 1], "text": [item, "none of these words here"]}), tiling.MIN_TILE))
+    batch = pa.record_batch({"doc_id": pa.array(range(2500)), "text": pa.array(texts)})
+    released = []
+    monkeypatch.setattr(pa, "default_memory_pool", lambda: SimpleNamespace(release_unused=lambda: released.append(1)))
+    out = list(tiling._filter(spread, tiling.COVERAGE, tiling.MIN_TILE)(iter([batch, batch.slice(0, 0), batch.slice(3, 9)])))
+    assert len(released) == 4 and textscan._powers.size == textscan.SMALL_SLICE_BYTES + 1 <= (1 << 19) + 1
+    assert max(x.num_rows for x in out) <= textscan.PART_ROWS
+    kept = [i for i, text in enumerate(texts) if item not in (text or "")]
+    assert [i for x in out for i in x["doc_id"].to_pylist()] == kept + [i for i in kept if 3 <= i < 12]
